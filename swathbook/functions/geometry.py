@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from swathbook import constants as K
 from swathbook.functions.names import _col
 
 
@@ -425,7 +424,7 @@ def overlap_area(a: str | Column, b: str | Column) -> Column:
     def sign(r: Column) -> Column:
         return F.when(r["hole"], -1.0).otherwise(1.0)
 
-    general = F.aggregate(
+    return F.aggregate(
         a["rings"],
         F.lit(0.0),
         lambda acc, r: acc
@@ -435,7 +434,3 @@ def overlap_area(a: str | Column, b: str | Column) -> Column:
             lambda sub, s: sub + sign(r) * sign(s) * ring_overlap_area(r["pts"], s["pts"]),
         ),
     )
-    return F.when(is_box(a) & is_box(b), box_overlap_area(bbox(a), bbox(b))).otherwise(general)
-
-
-WORLD = K.WORLD_WKT

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from swathbook import constants as K
 from swathbook.functions import names as N
 from swathbook.functions import paths as P
+from swathbook.operators.once import computed_once
 from swathbook.operators.skew import ROWS_PER_SLOT, skew_join
 
 _GROUP = ["_unit", "_orbit_take", "_level_pol"]
@@ -27,17 +28,20 @@ def _sources(listing: DataFrame, name: str, target_type: str, raw_level: str) ->
         "_level_pol": F.concat(N.target_level(target_type, raw_level), F.lit("S"), fields["polarisation"]),
         "_take": fields["mission_data_take"],
     }
-    df = df.withColumns({k: F.when(F.col("_start").isNotNull(), v) for k, v in known.items()})
-    return df.withColumn("_error", N.name_error("source_id"))
+    df = computed_once(df, {c: F.col(c) for c in ("source_id", "_start")})
+    columns = {k: F.when(F.col("_start").isNotNull(), v) for k, v in known.items()}
+    columns["_text"] = N.name_time_text(F.timestamp_seconds("_start"))
+    return computed_once(df, columns).withColumn("_error", N.name_error("source_id"))
 
 
 def _candidates(catalog: DataFrame, target_type: str) -> DataFrame:
     token = target_type.rstrip("_").ljust(4, "_")
     fields = N.s1_fields("Name")
-    return catalog.filter(
+    wanted = catalog.filter(
         (F.substring("Name", 7, 5) == F.lit("_" + token)) & ~F.col("Name").contains("_COG")
-    ).select(
-        F.split("Name", "_")[0].alias("_unit"),
+    ).select("Name", "Id", "ContentLength")
+    return computed_once(wanted, {"Name": F.col("Name")}).select(
+        F.get(F.split("Name", "_"), 0).alias("_unit"),
         F.substring("Name", 50, 13).alias("_orbit_take"),
         F.substring("Name", 13, 4).alias("_level_pol"),
         F.unix_seconds(fields["startdate"]).alias("_cstart"),
@@ -70,7 +74,8 @@ def _nearest(sources: DataFrame, candidates: DataFrame, bucket_seconds: int) ->
     only these summaries are ordered along the group. No pairs are formed and no
     group of products is gathered.
     """
-    wanted = sources.filter("_start IS NOT NULL").select(*_GROUP, F.col("_start").alias("_t")).distinct()
+    # names without a readable time collapse to one row here and never join
+    wanted = sources.select(*_GROUP, F.col("_start").alias("_t")).distinct()
     known = _by_name(candidates.filter("_cstart IS NOT NULL").drop("Name"), _GROUP + ["_cstart"])
     known = known.withColumnRenamed("_cstart", "_t")
     event = F.struct(F.col("_t").alias("t"), F.col("_c").alias("c"))
@@ -143,19 +148,18 @@ def match_siblings(
     src = _sources(listing, name, target_type, "1" if mode == "reference" else "0")
     cand = _candidates(catalog, target_type)
 
-    keyed = src.withColumn("_text", N.name_time_text(F.timestamp_seconds("_start")))
     exact = _exact(cand).select(*_GROUP, "_text", F.col("_c").alias("_exact"))
     near = _nearest(src, cand, bucket_seconds)
     groups = cand.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_n"))
     # answers per distinct (group, start); the listing is joined once, with hot starts split
-    starts = keyed.filter("_start IS NOT NULL").select(*_GROUP, "_start", "_text").distinct()
+    starts = src.select(*_GROUP, "_start", "_text").distinct()
     answers = (
         skew_join(starts, groups, _GROUP, "left", rows_per_slot)
         .join(exact, _GROUP + ["_text"], "left")
         .join(near, _GROUP + ["_start"], "left")
         .drop("_text")
     )
-    df = skew_join(keyed.drop("_text"), answers, _GROUP + ["_start"], "left", rows_per_slot)
+    df = skew_join(src.drop("_text"), answers, _GROUP + ["_start"], "left", rows_per_slot)
 
     is_exact = F.col("_exact").isNotNull()
     within = F.col("_delta") <= tolerance

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from swathbook import constants as K
 from swathbook.functions import geometry as G
 from swathbook.functions import names as N
+from swathbook.operators.once import computed_once
 from swathbook.operators.requests import normalize_requests
 from swathbook.operators.skew import BROADCAST_ROWS, ROWS_PER_SLOT, skew_join
 
@@ -102,10 +103,9 @@ def prepare_requests(requests: DataFrame, mode: str = "default", cell_degrees: f
         F.col("start_inclusive").alias("_from_closed"),
         F.when(spatial, G.exterior_only("area")).alias("_area"),
     )
-    df = df.withColumn("_area_box", G.bbox("_area")).withColumn("_area_is_box", G.is_box("_area"))
-    return df.withColumn("_times", _day_keys()).withColumn(
-        "_cells", F.coalesce(G.cells(F.col("_area_box"), cell_degrees), F.array(_no_cell()))
-    )
+    df = computed_once(df, {c: F.col(c) for c in ("_from", "_to", "_area")})
+    df = computed_once(df, {"_area_box": G.bbox("_area"), "_area_is_box": G.is_box("_area"), "_times": _day_keys()})
+    return df.withColumn("_cells", F.coalesce(G.cells(F.col("_area_box"), cell_degrees), F.array(_no_cell())))
 
 
 def profile_requests(prepared: DataFrame) -> RequestProfile:
@@ -144,11 +144,13 @@ def profile_requests(prepared: DataFrame) -> RequestProfile:
 
 def with_geometry(catalog: DataFrame) -> DataFrame:
     """Add ``geom`` (parsed footprint) and ``box`` unless the table has them."""
-    if "geom" not in catalog.columns:
-        catalog = catalog.withColumn("geom", G.geometry_from_wkt(G.footprint_wkt("Footprint")))
-    if "box" not in catalog.columns:
-        catalog = catalog.withColumn("box", G.bbox("geom"))
-    return catalog
+    if "geom" in catalog.columns and "box" in catalog.columns:
+        return catalog
+    geom = F.col("geom") if "geom" in catalog.columns else G.geometry_from_wkt(G.footprint_wkt("Footprint"))
+    both = G.let(geom, lambda g: F.struct(g.alias("geom"), G.bbox(g).alias("box")))
+    return computed_once(catalog, {"_g": both}).select(
+        *[c for c in catalog.columns if c != "geom"], F.col("_g")["geom"].alias("geom"), F.col("_g")["box"].alias("box")
+    )
 
 
 def _attribute_values(catalog: DataFrame, name: str) -> Column:
@@ -185,14 +187,15 @@ def _prepare_catalog(catalog: DataFrame, p: RequestProfile, cell_degrees: float)
     df = df.withColumn("_types", _attribute_values(catalog, "productType"))
     cells = F.array().cast("array<struct<cx:int,cy:int>>")
     if p.has_area:
-        df = with_geometry(df).withColumn("_geom_is_box", G.is_box("geom"))
+        df = with_geometry(df)
+        df = df.withColumn("_geom_is_box", G.is_box("geom"))
         cells = F.coalesce(G.cells(F.col("box"), cell_degrees), cells)
     if p.has_no_area:
         cells = F.concat(cells, F.array(_no_cell()))
-    df = df.withColumn("_cell", F.explode(cells))
+    df = df.withColumn("_cell", F.explode_outer(cells))
     if len(times) == 1:
         return df.withColumn("_time", times[0])
-    return df.withColumn("_time", F.explode(F.array(*times)))
+    return df.withColumn("_time", F.explode_outer(F.array(*times)))
 
 
 def _asked(p: RequestProfile, in_shared_cell: Column) -> Column:
@@ -256,7 +259,8 @@ def search(
     """
     prepared = prepare_requests(requests, mode, cell_degrees)
     profile = profile_requests(prepared)
-    req = prepared.withColumn("_time", F.explode("_times")).withColumn("_cell", F.explode("_cells"))
+    # outer explodes: a null key never joins, and no filter over the whole key expression is derived
+    req = prepared.withColumn("_time", F.explode_outer("_times")).withColumn("_cell", F.explode_outer("_cells"))
     req = _flat_keys(req.drop("_times", "_cells"))
     products = _flat_keys(_prepare_catalog(catalog, profile, cell_degrees))
     shared = G.shared_cell(F.col("box"), F.col("_area_box"), cell_degrees)
