@@ -7,18 +7,36 @@ degrees and the antimeridian is not special.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from swathbook.functions.names import _col
 
 
+def built_once(fn):
+    """Keep the expression of each set of column names: large ones take long to assemble."""
+    cache: dict[tuple, Column] = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        if any(isinstance(a, Column) for a in args):
+            return fn(*args)
+        if args not in cache:
+            cache[args] = fn(*args)
+        return cache[args]
+
+    return wrapper
+
+
 def let(value: Column, body) -> Column:
     """Bind ``value`` to a lambda variable so that ``body`` may use it many times."""
     return F.get(F.transform(F.array(value), body), 0)
 
 
 # --------------------------------------------------------------------- text
+@built_once
 def footprint_wkt(footprint: str | Column) -> Column:
     """Geometry text of a catalog footprint: after ';', trimmed, closing quote dropped."""
     text = F.trim(F.get(F.split(_col(footprint), ";"), 1))
@@ -38,6 +56,7 @@ def _point(text: Column) -> Column:
     )
 
 
+@built_once
 def geometry_from_wkt(wkt: str | Column) -> Column:
     """Parse WKT; null when the text is no geometry.
 
@@ -75,6 +94,7 @@ def _number(v: Column) -> Column:
     return F.regexp_replace(v.cast("string"), r"\.0$", "")
 
 
+@built_once
 def geometry_to_wkt(geom: str | Column) -> Column:
     """WKT of a POINT, POLYGON or MULTIPOLYGON geometry."""
     geom = _col(geom)
@@ -100,6 +120,7 @@ def all_points(geom: Column) -> Column:
     return F.flatten(F.transform(geom["rings"], lambda r: r["pts"]))
 
 
+@built_once
 def bbox(geom: str | Column) -> Column:
     """``STRUCT<x0, y0, x1, y1>`` of a geometry."""
     pts = all_points(_col(geom))
@@ -128,6 +149,7 @@ def boxes_overlap(a: Column, b: Column) -> Column:
     return (a["x0"] <= b["x1"]) & (b["x0"] <= a["x1"]) & (a["y0"] <= b["y1"]) & (b["y0"] <= a["y1"])
 
 
+@built_once
 def is_box(geom: str | Column) -> Column:
     """The geometry is one axis-parallel rectangle without holes."""
     geom = _col(geom)
@@ -178,6 +200,23 @@ def shared_cell(a: Column, b: Column, degrees: float) -> Column:
     )
 
 
+@built_once
+def footprint_geometry(footprint: str) -> Column:
+    """``STRUCT<geom, box>`` of a catalog footprint."""
+    geom = geometry_from_wkt(footprint_wkt(footprint))
+    return let(geom, lambda g: F.struct(g.alias("geom"), bbox(g).alias("box")))
+
+
+@built_once
+def repaired_geometry(column: str, is_footprint: bool) -> Column:
+    """``STRUCT<geom, box, is_box>`` of the mended geometry in a WKT or footprint column."""
+    geom = geometry_from_wkt(footprint_wkt(column) if is_footprint else F.col(column))
+    return let(
+        repair(geom)["geom"],
+        lambda g: F.struct(g.alias("geom"), bbox(g).alias("box"), is_box(g).alias("is_box")),
+    )
+
+
 # --------------------------------------------------------------------- rings
 def _edge_indices(pts: Column) -> Column:
     """Indices 0..n-2 of the edges of a closed ring (empty below two points)."""
@@ -201,6 +240,7 @@ def ring_area(pts: Column) -> Column:
     return F.aggregate(_edge_indices(pts), F.lit(0.0), add)
 
 
+@built_once
 def area(geom: str | Column) -> Column:
     """Exteriors minus holes. Parts of a MULTIPOLYGON are taken as non-overlapping here."""
     return F.aggregate(
@@ -271,6 +311,7 @@ def _rings_meet(p: Column, q: Column) -> Column:
     )
 
 
+@built_once
 def intersects(a: str | Column, b: str | Column) -> Column:
     """Polygon or point geometries share at least one point."""
     a, b = _col(a), _col(b)
@@ -284,6 +325,7 @@ def intersects(a: str | Column, b: str | Column) -> Column:
     )
 
 
+@built_once
 def exterior_only(geom: str | Column) -> Column:
     """The geometry without its holes."""
     geom = _col(geom)
@@ -310,6 +352,7 @@ def _self_crossing(pts: Column) -> Column:
     )
 
 
+@built_once
 def is_valid(geom: str | Column) -> Column:
     """Every polygon ring is closed, has four points or more, an area, and does not cross itself."""
     geom = _col(geom)
@@ -327,6 +370,7 @@ def is_valid(geom: str | Column) -> Column:
     return F.when(geom.isNotNull(), F.when(areal, F.forall(geom["rings"], good)).otherwise(True))
 
 
+@built_once
 def repair(geom: str | Column) -> Column:
     """``STRUCT<geom, repaired>``: repeated points dropped, rings closed, exteriors counter-clockwise.
 
@@ -417,6 +461,7 @@ def ring_overlap_area(p: Column, q: Column) -> Column:
     return F.abs(F.aggregate(fan, F.lit(0.0), add))
 
 
+@built_once
 def overlap_area(a: str | Column, b: str | Column) -> Column:
     """Common area of two polygon geometries whose own parts do not overlap."""
     a, b = _col(a), _col(b)

@@ -146,8 +146,7 @@ def with_geometry(catalog: DataFrame) -> DataFrame:
     """Add ``geom`` (parsed footprint) and ``box`` unless the table has them."""
     if "geom" in catalog.columns and "box" in catalog.columns:
         return catalog
-    geom = F.col("geom") if "geom" in catalog.columns else G.geometry_from_wkt(G.footprint_wkt("Footprint"))
-    both = G.let(geom, lambda g: F.struct(g.alias("geom"), G.bbox(g).alias("box")))
+    both = G.footprint_geometry("Footprint")
     return computed_once(catalog, {"_g": both}).select(
         *[c for c in catalog.columns if c != "geom"], F.col("_g")["geom"].alias("geom"), F.col("_g")["box"].alias("box")
     )
