@@ -40,7 +40,7 @@ def let(value: Column, body) -> Column:
 def footprint_wkt(footprint: str | Column) -> Column:
     """Geometry text of a catalog footprint: after ';', trimmed, closing quote dropped."""
     text = F.trim(F.get(F.split(_col(footprint), ";"), 1))
-    return F.substring(text, F.lit(1), F.length(text) - 1)
+    return F.regexp_replace(text, ".$", "")
 
 
 def wkt_kind(wkt: str | Column) -> Column:
@@ -63,21 +63,27 @@ def geometry_from_wkt(wkt: str | Column) -> Column:
     A ring opened by a single parenthesis follows another ring of the same
     polygon and is therefore a hole.
     """
-    wkt = _col(wkt)
-    opening = F.regexp_extract_all(wkt, F.lit(r"(\(+)[^()]+\)"), F.lit(1))
-    body = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
-    kind = wkt_kind(wkt)
-    rings = F.zip_with(
-        opening,
-        body,
-        lambda o, b: F.struct(
-            (kind.isin("POLYGON", "MULTIPOLYGON") & (F.length(o) < 2)).alias("hole"),
-            F.transform(F.split(b, ","), _point).alias("pts"),
-        ),
-    )
-    geom = F.struct(kind.alias("kind"), rings.alias("rings"))
-    bad = F.exists(rings, lambda r: F.exists(r["pts"], lambda p: p["x"].isNull() | p["y"].isNull()))
-    return F.when(kind.isNotNull() & (F.size(rings) > 0) & ~bad, geom)
+
+    def parse(text: Column) -> Column:
+        opening = F.regexp_extract_all(text, F.lit(r"(\(+)[^()]+\)"), F.lit(1))
+        body = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1))
+        rings = F.zip_with(
+            opening,
+            body,
+            lambda o, b: F.struct((F.length(o) < 2).alias("hole"), F.transform(F.split(b, ","), _point).alias("pts")),
+        )
+        return let(F.struct(wkt_kind(text).alias("kind"), rings.alias("rings")), checked)
+
+    def checked(g: Column) -> Column:
+        areal = g["kind"].isin("POLYGON", "MULTIPOLYGON")
+        outlines = F.when(areal, g["rings"]).otherwise(
+            F.transform(g["rings"], lambda r: F.struct(F.lit(False).alias("hole"), r["pts"].alias("pts")))
+        )
+        bad = F.exists(g["rings"], lambda r: F.exists(r["pts"], lambda p: p["x"].isNull() | p["y"].isNull()))
+        good = g["kind"].isNotNull() & (F.size(g["rings"]) > 0) & ~bad
+        return F.when(good, F.struct(g["kind"].alias("kind"), outlines.alias("rings")))
+
+    return let(_col(wkt), parse)
 
 
 def ring_text(pts: Column) -> Column:
@@ -123,17 +129,20 @@ def all_points(geom: Column) -> Column:
 @built_once
 def bbox(geom: str | Column) -> Column:
     """``STRUCT<x0, y0, x1, y1>`` of a geometry."""
-    pts = all_points(_col(geom))
-    xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
-    return F.when(
-        _col(geom).isNotNull(),
-        F.struct(
-            F.array_min(xs).alias("x0"),
-            F.array_min(ys).alias("y0"),
-            F.array_max(xs).alias("x1"),
-            F.array_max(ys).alias("y1"),
-        ),
-    )
+
+    def limits(pts: Column) -> Column:
+        xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
+        return F.when(
+            F.size(pts) > 0,
+            F.struct(
+                F.array_min(xs).alias("x0"),
+                F.array_min(ys).alias("y0"),
+                F.array_max(xs).alias("x1"),
+                F.array_max(ys).alias("y1"),
+            ),
+        )
+
+    return let(all_points(_col(geom)), limits)
 
 
 def box_wkt(x0, y0, x1, y1) -> Column:
@@ -152,19 +161,22 @@ def boxes_overlap(a: Column, b: Column) -> Column:
 @built_once
 def is_box(geom: str | Column) -> Column:
     """The geometry is one axis-parallel rectangle without holes."""
-    geom = _col(geom)
-    pts = geom["rings"][0]["pts"]
 
-    def square(box: Column) -> Column:
-        corners = F.forall(
-            pts,
-            lambda p: ((p["x"] == box["x0"]) | (p["x"] == box["x1"]))
-            & ((p["y"] == box["y0"]) | (p["y"] == box["y1"])),
-        )
-        whole = F.abs(ring_area(pts)) == (box["x1"] - box["x0"]) * (box["y1"] - box["y0"])
-        return corners & whole
+    def test(g: Column) -> Column:
+        pts = F.get(g["rings"], 0)["pts"]
+
+        def square(box: Column) -> Column:
+            corners = F.forall(
+                pts,
+                lambda p: ((p["x"] == box["x0"]) | (p["x"] == box["x1"]))
+                & ((p["y"] == box["y0"]) | (p["y"] == box["y1"])),
+            )
+            whole = F.abs(ring_area(pts)) == (box["x1"] - box["x0"]) * (box["y1"] - box["y0"])
+            return corners & whole
 
-    return (F.size(geom["rings"]) == 1) & (F.size(pts) == 5) & let(bbox(geom), square)
+        return F.when((F.size(g["rings"]) == 1) & (F.size(pts) == 5), let(bbox(g), square)).otherwise(False)
+
+    return let(_col(geom), lambda g: F.when(g.isNotNull(), test(g)))
 
 
 def cells(box: Column, degrees: float) -> Column:
@@ -377,7 +389,6 @@ def repair(geom: str | Column) -> Column:
     Rings without area disappear. A ring that crosses itself cannot be mended by
     these steps and leaves ``repaired`` false.
     """
-    geom = _col(geom)
 
     def clean(r: Column) -> Column:
         pts = F.filter(
@@ -385,22 +396,25 @@ def repair(geom: str | Column) -> Column:
         )
         closed = let(
             pts,
-            lambda c: F.when(F.get(c, 0) == F.element_at(c, -1), c).otherwise(
-                F.concat(c, F.slice(c, 1, 1))
-            ),
+            lambda c: F.when(F.get(c, 0) == F.element_at(c, -1), c).otherwise(F.concat(c, F.slice(c, 1, 1))),
+        )
+        turned = let(
+            closed, lambda c: F.when((ring_area(c) < 0) != r["hole"], F.reverse(c)).otherwise(c)
         )
-        wrong_way = lambda c: (ring_area(c) < 0) != r["hole"]
-        turned = let(closed, lambda c: F.when(wrong_way(c), F.reverse(c)).otherwise(c))
         return F.struct(r["hole"].alias("hole"), turned.alias("pts"))
 
-    rings = F.filter(
-        F.transform(geom["rings"], clean), lambda r: (F.size(r["pts"]) >= 4) & (ring_area(r["pts"]) != 0.0)
-    )
-    fixed = F.struct(geom["kind"].alias("kind"), rings.alias("rings"))
-    return F.when(
-        geom.isNotNull(),
-        let(fixed, lambda g: F.struct(g.alias("geom"), ((F.size(g["rings"]) > 0) & is_valid(g)).alias("repaired"))),
-    )
+    def mend(g: Column) -> Column:
+        rings = F.filter(
+            F.transform(g["rings"], clean), lambda r: (F.size(r["pts"]) >= 4) & (ring_area(r["pts"]) != 0.0)
+        )
+        fixed = F.struct(g["kind"].alias("kind"), rings.alias("rings"))
+        judged = let(
+            fixed,
+            lambda f: F.struct(f.alias("geom"), ((F.size(f["rings"]) > 0) & is_valid(f)).alias("repaired")),
+        )
+        return F.when(g.isNotNull(), judged)
+
+    return let(_col(geom), mend)
 
 
 # --------------------------------------------------------------------- common area

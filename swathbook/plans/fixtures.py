@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a table that sits in fewer splits than there are cores over all of them.
+
+    Large tables arrive in many splits and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _seconds(ts: Column, n: Column) -> Column:
     return F.timestamp_seconds(F.unix_seconds(ts) + n)
 
@@ -33,7 +42,8 @@ def _pick(index: Column, values: list[str]) -> Column:
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    e = _spread(e, "event_id")
     start = F.date_trunc("second", F.col("ts").cast("timestamp"))
     return e.select(
         "event_id", "user_id", "event_type", "value", start.alias("t"), F.floor(F.col("event_id") / 4).alias("g")
