@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ class RequestProfile:
     """What one pass over the request table tells about it."""
 
     keys: int
+    day_keys: int
     has_blocks: bool
     has_open: bool
     has_area: bool
@@ -43,8 +44,11 @@ def _second(c: str) -> Column:
     return F.date_trunc("second", F.col(c))
 
 
-def _day_keys() -> Column:
-    """Time keys of a request: whole blocks of days inside the window, single days around them."""
+def _time_keys(blocks: bool) -> Column:
+    """Time keys of a request: single days, with whole blocks of days where ``blocks`` allows.
+
+    A window without one of its bounds has the single key of the open bucket.
+    """
     first = F.floor(F.unix_seconds("_from") / DAY).cast("int")
     last = F.floor(F.unix_seconds("_to") / DAY).cast("int")
     block_from = F.ceil(first / BLOCK_DAYS).cast("int")
@@ -64,7 +68,9 @@ def _day_keys() -> Column:
         keys(_BLOCKS, block_from, block_to),
         keys(_DAYS, (block_to + 1) * BLOCK_DAYS, last),
     )
-    windowed = F.when(block_from <= block_to, with_blocks).otherwise(keys(_DAYS, first, last))
+    windowed = keys(_DAYS, first, last)
+    if blocks:
+        windowed = F.when(block_from <= block_to, with_blocks).otherwise(windowed)
     is_open = F.col("_from").isNull() | F.col("_to").isNull()
     return F.when(
         is_open, F.array(F.struct(F.lit(_OPEN).alias("level"), F.lit(0).alias("bucket")))
@@ -104,17 +110,19 @@ def prepare_requests(requests: DataFrame, mode: str = "default", cell_degrees: f
         F.when(spatial, G.exterior_only("area")).alias("_area"),
     )
     df = computed_once(df, {c: F.col(c) for c in ("_from", "_to", "_area")})
-    df = computed_once(df, {"_area_box": G.bbox("_area"), "_area_is_box": G.is_box("_area"), "_times": _day_keys()})
+    df = computed_once(df, {"_area_box": G.bbox("_area"), "_area_is_box": G.is_box("_area"), "_times": _time_keys(True)})
     return df.withColumn("_cells", F.coalesce(G.cells(F.col("_area_box"), cell_degrees), F.array(_no_cell())))
 
 
 def profile_requests(prepared: DataFrame) -> RequestProfile:
     """One aggregated row: decides the join strategy and the literal scan filters."""
     is_open = F.col("_from").isNull() | F.col("_to").isNull()
+    days = F.when(is_open, 1).otherwise(F.greatest(F.datediff("_to", "_from") + 1, F.lit(0)))
     first_start = F.when(F.count_if(F.col("_from").isNull()) == 0, F.min("_from"))
     last_end = F.when(F.count_if(F.col("_to").isNull()) == 0, F.max("_to"))
     row = prepared.agg(
         F.coalesce(F.sum((F.size("_times") * F.size("_cells")).cast("bigint")), F.lit(0)).alias("keys"),
+        F.coalesce(F.sum(days * F.size("_cells")), F.lit(0)).cast("bigint").alias("day_keys"),
         F.coalesce(F.max(F.exists("_times", lambda t: t["level"] == _BLOCKS)), F.lit(False)).alias("blocks"),
         F.coalesce(F.max(is_open), F.lit(False)).alias("open"),
         F.coalesce(F.max(F.col("_area").isNotNull()), F.lit(False)).alias("area"),
@@ -130,6 +138,7 @@ def profile_requests(prepared: DataFrame) -> RequestProfile:
     ).first()
     return RequestProfile(
         row["keys"],
+        row["day_keys"],
         row["blocks"],
         row["open"],
         row["area"],
@@ -258,6 +267,10 @@ def search(
     """
     prepared = prepare_requests(requests, mode, cell_degrees)
     profile = profile_requests(prepared)
+    if profile.day_keys <= broadcast_keys:
+        # few enough single days: products then need no second key for the blocks
+        profile = replace(profile, keys=profile.day_keys, has_blocks=False)
+        prepared = prepared.withColumn("_times", _time_keys(False))
     # outer explodes: a null key never joins, and no filter over the whole key expression is derived
     req = prepared.withColumn("_time", F.explode_outer("_times")).withColumn("_cell", F.explode_outer("_cells"))
     req = _flat_keys(req.drop("_times", "_cells"))
