@@ -560,9 +560,12 @@ def _matches(spark: SparkSession, sf: str) -> DataFrame:
     return M.match_siblings(X.listing(spark, sf), X.catalog(spark, sf), "GRDH")
 
 
-@register("match_siblings", sql(["matched"], "SELECT * FROM matched"))
+@register(
+    "match_siblings",
+    sql(["matched"], "SELECT * REPLACE (coalesce(delta_seconds, -1) AS delta_seconds) FROM matched"),
+)
 def match_siblings(spark: SparkSession, sf: str) -> DataFrame:
-    return _matches(spark, sf)
+    return _matches(spark, sf).withColumn("delta_seconds", F.coalesce("delta_seconds", F.lit(-1)))
 
 
 @register(
