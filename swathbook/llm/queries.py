@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from swathbook.llm.mixing import mix
 from swathbook.llm.near_documents import near_duplicates
 from swathbook.llm.near_lines import near_lines
+from swathbook.llm.phrases import hit_words, phrase_matches
+from swathbook.llm.sharding import assign_shards
+from swathbook.llm.topk import quantise, top_k
+from swathbook.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,3 +44,127 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows")
+
+
+@_query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items they come from."""
+    found = phrase_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "phrase_hits", hit_words().alias("n_hit")).select(
+        "doc_id",
+        F.col("phrase_hits.n_words").alias("n_words"),
+        "n_hit",
+        F.size("phrase_hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("phrase_hits.items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+#: Words and windows in SQL.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE["op9_decontamination"] = f"""
+WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS p
+  FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i) WHERE len(w) > 0),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM win),
+occ AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS p FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+hit AS (SELECT o.doc_id, o.i, o.n, win.item_id FROM occ o JOIN win ON o.n = win.n AND o.p = win.p),
+pos AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM hit, unnest(range(i, i + n)) AS t(k) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
+#: Host, path and verdict of the rules.
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@_query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page. A page's outcome is the label of the document with its number: good and not toxic."""
+    labels = table(spark, sf_dir, "labels").withColumn("outcome", F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 1).otherwise(0))
+    found = judge_urls(table(spark, sf_dir, "pages"), labels, RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", F.round("rate", 6).alias("rate"), F.round("low", 6).alias("low"))
+
+
+_SUFFIX = "CASE WHEN len(l) > 2 AND length(l[-1]) = 2 AND l[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') THEN l[-2] || '.' || l[-1] ELSE l[-1] END"
+
+
+def _weight(level: str, parent: str) -> str:
+    return f"""SELECT coalesce(least(greatest(1 / CASE WHEN s > 0 THEN s END - 1, 1.0), 1000.0), 1000.0) AS weight FROM (
+      SELECT (sum(n * (good / n - {parent}) * (good / n - {parent})) - sum({parent} * (1 - {parent})))
+        / nullif(greatest(sum({parent} * (1 - {parent}) * (n - 1)), 0), 0) AS s FROM {level})"""
+
+
+ORACLE["op4_url_filter"] = rf"""
+WITH p AS (SELECT page_id, lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)) AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+names AS (SELECT host, suffix, CASE WHEN len(l) >= len(string_split(suffix, '.')) + 1
+    THEN array_to_string(list_slice(l, len(l) - len(string_split(suffix, '.')), len(l)), '.') ELSE host END AS domain
+  FROM (SELECT host, l, {_SUFFIX} AS suffix FROM (SELECT DISTINCT host, string_split(host, '.') AS l FROM p))),
+h AS (SELECT host, count(*) AS n, CAST(sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS good
+  FROM p JOIN labels ON page_id = doc_id WHERE host <> '' GROUP BY host),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM h JOIN names USING (host) GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(good) AS good, (SELECT sum(good) / sum(n) FROM h) AS all_rate FROM d GROUP BY suffix),
+sr AS (SELECT suffix, (good + weight * all_rate) / (n + weight) AS suffix_rate FROM s, ({_weight('s', 'all_rate')})),
+dp AS (SELECT d.*, suffix_rate FROM d JOIN sr USING (suffix)),
+dr AS (SELECT domain, suffix_rate, (good + weight * suffix_rate) / (n + weight) AS domain_rate FROM dp, ({_weight('dp', 'suffix_rate')})),
+hp AS (SELECT h.*, domain_rate FROM h JOIN names USING (host) JOIN dr USING (domain)),
+hw AS ({_weight('hp', 'domain_rate')}),
+hr AS (SELECT host, n, (good + weight * domain_rate) / (n + weight) AS own_rate FROM hp, hw),
+j AS (SELECT host, coalesce(n, 0) + weight AS total,
+    coalesce(own_rate, domain_rate, sr.suffix_rate, (SELECT sum(good) / sum(n) FROM h)) AS rate
+  FROM names LEFT JOIN hr USING (host) LEFT JOIN dr USING (domain) LEFT JOIN sr USING (suffix), hw),
+k AS (SELECT host, rate, rate - 1.645 * sqrt(rate * (1 - rate) / (total + 1)) AS low FROM j),
+r AS (SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) AS t(rh, rp, rv)),
+best AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rv, length(rh || rp)) AS rv
+  FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(rv, CASE WHEN low < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+  round(rate, 6) AS rate, round(low, 6) AS low FROM p JOIN k USING (host) LEFT JOIN best USING (page_id)"""
+
+
+@_query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix takes."""
+    documents, _ = mix(table(spark, sf_dir, "documents"))
+    return documents.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+ORACLE["op10_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight, 2.0::DOUBLE * source_size AS cap FROM s),
+l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT source, source_size, least(cap, weight * (SELECT arg_min(level, cap / weight) FROM l WHERE level * weight <= cap)) AS target FROM l),
+p AS (SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)) ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS b FROM d)
+SELECT doc_id, size, source_size, target,
+  CAST(greatest(0, least(size, CAST(round(target) AS BIGINT) - b)) + greatest(0, least(size, CAST(round(target) AS BIGINT) - b - source_size)) AS BIGINT) AS taken
+FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source"""
+
+
+@_query
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best matches of every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", quantise("embedding").alias("v"))
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+ORACLE["op6_top_k"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@_query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    found = assign_shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"])
+    none = F.lit(None).cast("int")
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none.alias("grown_shard"), "curve_index")
