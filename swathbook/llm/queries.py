@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from swathbook.llm.language import fit_languages, identify_languages
 from swathbook.llm.mixing import mix
 from swathbook.llm.near_documents import near_duplicates
 from swathbook.llm.near_lines import near_lines
 from swathbook.llm.phrases import hit_words, phrase_matches
+from swathbook.llm.quality import fit_quality, score_quality
 from swathbook.llm.sharding import assign_shards
+from swathbook.llm.token_counts import token_counts
 from swathbook.llm.topk import quantise, top_k
 from swathbook.llm.url_filter import judge_urls
 
@@ -155,8 +158,8 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op6_top_k"] = """
-WITH e AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
@@ -168,3 +171,32 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = assign_shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"])
     none = F.lit(None).cast("int")
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none.alias("grown_shard"), "curve_index")
+
+
+@_query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the documents that are not held out."""
+    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    model = fit_languages(documents.where("not held_out"))
+    found = identify_languages(documents.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+#: The vocabulary file, from the installed public tokenizers.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@_query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every document."""
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).select("doc_id", "n_tokens")
+
+
+@_query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is of quality and that it is toxic; kept if the first and not the second is likely."""
+    documents, targets = table(spark, sf_dir, "documents"), ["quality", "toxic"]
+    found = score_quality(documents, fit_quality(documents, table(spark, sf_dir, "labels"), targets), targets)
+    score, toxic = F.col("p_quality").alias("score"), F.col("p_toxic").alias("toxic_score")
+    return found.select("doc_id", score, toxic, ((F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("keep"))
