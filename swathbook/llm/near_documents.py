@@ -27,7 +27,7 @@ from swathbook.llm.words import mix64, shingles, words
 
 WIDTH = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 20, 5
+BANDS, ROWS = 25, 4
 #: Shingles in less than this share of the documents all have the largest idf.
 FLOOR = 0.01
 #: Rows of the table of random variates; a shingle takes the row of its hash.
