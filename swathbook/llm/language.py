@@ -130,21 +130,25 @@ SCALE = 40.0
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 150) -> np.ndarray:
-    """Weights and bias of a linear SVM with squared hinge loss, by accelerated gradient descent; y is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w = z = np.zeros(x.shape[1])
-    rate, t = 1 / (4 * 1.0 + penalty), 1.0  # rows have length sqrt(2) at most and weights sum to 1
+    """Weights and bias of a linear SVM with squared hinge loss, by accelerated gradient descent; y is 1 or -1.
+
+    ``x`` is single precision with rows of length 1; no copy of it is made.
+    """
+    y = y.astype(np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    w = z = np.zeros(x.shape[1] + 1, np.float32)
+    rate, t = np.float32(1 / (4 + penalty)), 1.0  # rows have length sqrt(2) with the bias and weights sum to 1
     for _ in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ z))
-        step = z - rate * (penalty * z - 2 * x.T @ (weight * y * slack))
+        pull = weight * y * np.maximum(0, 1 - y * (x @ z[:-1] + z[-1]))
+        step = z - rate * (np.float32(penalty) * z - 2 * np.append(pull @ x, pull.sum()))
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        z = step + (t - 1) / t_next * (step - w)
+        z = step + np.float32((t - 1) / t_next) * (step - w)
         w, t = step, t_next
-    return w
+    return w.astype(np.float64)
 
 
 def fit_model(labels: list[str], counts: np.ndarray) -> LanguageModel:
+    """Fit on rows of slot counts, which are overwritten."""
     languages = sorted(set(labels))
     number = {v: i for i, v in enumerate(languages)}
     y = np.array([number[v] for v in labels])
@@ -153,10 +157,11 @@ def fit_model(labels: list[str], counts: np.ndarray) -> LanguageModel:
     sums = np.zeros((len(families), SIZE))
     for f in range(len(families)):
         for m in np.flatnonzero(owner == f):  # languages weigh alike
-            part = counts[y == m]
-            sums[f] += (part / part.sum(1, keepdims=True)).mean(0) / (owner == f).sum()
+            rows = np.flatnonzero(y == m)
+            share = 1 / counts[rows].sum(1)
+            sums[f] += share @ counts[rows] / len(rows) / (owner == f).sum()
     log_prob = np.log((sums + 0.1 / SIZE) / 1.1)
-    x = np.sqrt(counts).astype(np.float32)
+    x = np.sqrt(counts, out=counts)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     pairs, planes = [], []
     for one in range(len(languages)):

@@ -99,23 +99,24 @@ def content(texts: pa.Array, vocabulary: np.ndarray) -> Iterator[tuple[np.ndarra
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, steps: int = 120) -> np.ndarray:
-    """Weights and bias of a logistic regression, by accelerated gradient descent."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    weight = weight / weight.sum()
-    rate = 1 / (0.25 * float((x.astype(np.float64) ** 2).sum(1).max()) + penalty)
-    w = z = np.zeros(x.shape[1])
+    """Weights and bias of a logistic regression, by accelerated gradient descent; no copy of ``x`` is made."""
+    weight = (weight / weight.sum()).astype(x.dtype)
+    y = y.astype(x.dtype)
+    rate = x.dtype.type(1 / (0.25 * float(np.einsum("ij,ij->i", x, x).max() + 1) + penalty))
+    w = z = np.zeros(x.shape[1] + 1, x.dtype)
     t = 1.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-(x @ z)))
-        step = z - rate * (x.T @ (weight * (p - y)) + penalty * z)
+        p = 1 / (1 + np.exp(-np.clip(x @ z[:-1] + z[-1], -80, 80)))
+        pull = weight * (p - y)
+        step = z - rate * (np.append(pull @ x, pull.sum()) + x.dtype.type(penalty) * z)
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        z = step + (t - 1) / t_next * (step - w)
+        z = step + x.dtype.type((t - 1) / t_next) * (step - w)
         w, t = step, t_next
-    return w
+    return w.astype(np.float64)
 
 
 def _logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return x @ w[:-1] + w[-1]
+    return x @ w[:-1].astype(x.dtype) + w[-1]
 
 
 def _sigmoid(v: np.ndarray) -> np.ndarray:
