@@ -11,6 +11,7 @@ text. Everything else, the predictions, covers whole texts of all rows.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -202,14 +203,25 @@ def fit_languages(df: DataFrame, lang: str = "lang", text: str = "text", per_lan
     for value, n in sizes.items():
         limit = F.when(F.col("lang") == value, F.lit(min(1.0, per_language / n))).otherwise(limit)
     chosen = keyed.where(F.pmod("h", F.lit(1 << 20)) < limit * F.lit(1 << 20)).dropDuplicates(["lang", "h"]).select("lang", "text")
-    rows = chosen.mapInArrow(_features, "lang string, slots array<int>, counts array<float>").toPandas()
-    if not len(rows):
-        return None
-    rows = rows.assign(key=[hash((tuple(s[:8]), float(np.sum(c)))) for s, c in zip(rows["slots"], rows["counts"], strict=True)]).sort_values(["lang", "key"])
-    counts = np.zeros((len(rows), SIZE), np.float32)
-    for i, (slots, values) in enumerate(zip(rows["slots"], rows["counts"], strict=True)):
-        counts[i, slots] = values
-    return fit_model(list(rows["lang"]), counts)
+    rows = chosen.mapInArrow(_features, "lang string, slots array<int>, counts array<float>")
+    got = rows.repartition(1).mapInArrow(_fitted, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else None
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows, which are the bounded sample; one task on an executor fits it."""
+    rows = [
+        (lang, np.asarray(slots), np.asarray(counts, np.float32))
+        for batch in batches
+        for lang, slots, counts in zip(batch.column("lang").to_pylist(), batch.column("slots").to_pylist(), batch.column("counts").to_pylist(), strict=True)
+    ]
+    rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+    if rows:
+        counts = np.zeros((len(rows), SIZE), np.float32)
+        for i, (_, slots, values) in enumerate(rows):
+            counts[i, slots] = values
+        model = fit_model([r[0] for r in rows], counts)
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
 
 def identify_languages(df: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:

@@ -11,10 +11,12 @@ about POOL rows, both chosen by a hash of the text; the scores cover whole texts
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -217,7 +219,25 @@ def fit_quality(df: DataFrame, labels: DataFrame, targets: list[str], id: str =
             yield pa.RecordBatch.from_pydict(same | more)
 
     schema = "h long, lang string, source string, length double, " + ", ".join(f"y_{c} double" for c in targets) + ", words array<long>, counts array<int>, style array<double>"
-    got = kept.mapInArrow(features, schema).toPandas().sort_values(["h", *[f"y_{c}" for c in targets]]).reset_index(drop=True)
+    got = kept.mapInArrow(features, schema).repartition(1).mapInArrow(_fitted(targets), "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else None
+
+
+def _fitted(targets: list[str]):
+    """The model of all rows, which are the bounded sample; one task on an executor fits it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        model = fit_sample(pa.Table.from_batches(parts).to_pandas(), targets) if parts else None
+        if model is not None:
+            yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    return run
+
+
+def fit_sample(got: pd.DataFrame, targets: list[str]) -> QualityModel | None:
+    """Fit on the sample's rows: h, lang, source, length, y_<target> (null: pool), words, counts, style."""
+    got = got.sort_values(["h", *[f"y_{c}" for c in targets]]).reset_index(drop=True)
     labelled = got[f"y_{targets[0]}"].notna().to_numpy()
     if labelled.sum() < 2:
         return None
