@@ -19,7 +19,6 @@ PRODUCTION_STATUS = {
 WORLD_WKT = "POLYGON((-180 -90,180 -90,180 90,-180 90,-180 -90))"
 DEFAULT_TOP = 1000
 DEFAULT_SLICE_DAYS = 7
-PUBLISHED_AFTER_CAP = 2000
 SEARCH_URL = "https://catalogue.dataspace.copernicus.eu/odata/v1/Products?$filter="
 
 # Download address templates (zipper, then the one of match records).

@@ -86,11 +86,30 @@ def _counted(df: DataFrame, period: Column, label: str, agg: Column) -> DataFram
     )
 
 
+def _span(products: DataFrame, mode: str, first, last, units: list[str] | None, text: str, fixed: tuple):
+    """Bounds and units as given; where missing, ``fixed`` in the reference mode, else what the data hold.
+
+    One aggregate reads the data; a table without a start time has the fixed bounds.
+    """
+    if mode == "reference":
+        return first or fixed[0], last or fixed[1], units or K.UNITS
+    if first is None or last is None or units is None:
+        start = F.date_format("startdate", text)
+        unit = F.collect_set(F.nullif(F.regexp_extract("Name", "^S1[A-Z]", 0), F.lit("")))
+        row = with_start(products, mode).agg(F.min(start), F.max(start), F.array_sort(unit)).first()
+        kind = type(fixed[0])
+        first = first or (kind(row[0]) if row[0] else fixed[0])
+        last = last or (kind(row[1]) if row[1] else fixed[1])
+        units = units or row[2] or K.UNITS
+    return first, last, units
+
+
 def count_per_month(
-    products: DataFrame, first: str = "2013-01", last: str = "2023-12", mode: str = "default",
-    units: list[str] = K.UNITS, polarisations: list[str] = K.POLARISATIONS,
+    products: DataFrame, first: str | None = None, last: str | None = None, mode: str = "default",
+    units: list[str] | None = None, polarisations: list[str] = K.POLARISATIONS,
 ) -> DataFrame:
     """Products per month, unit and polarisation; every month of the range present; stacking base."""
+    first, last, units = _span(products, mode, first, last, units, "yyyy-MM", ("2013-01", "2023-12"))
     df = with_start(products, mode).withColumn("_series", _series(units, polarisations, _name_has))
     n = _counted(df, _month_text(F.col("startdate")), "polarisation", F.count(F.lit(1)).alias("n"))
     spine = _spine(products.sparkSession, _months(first, last), units, polarisations, "polarisation")
@@ -99,9 +118,10 @@ def count_per_month(
 
 def count_per_calendar_month(
     products: DataFrame, mode: str = "default",
-    units: list[str] = K.UNITS, polarisations: list[str] = K.POLARISATIONS,
+    units: list[str] | None = None, polarisations: list[str] = K.POLARISATIONS,
 ) -> DataFrame:
     """Products per month of the year, unit and polarisation."""
+    _, _, units = _span(products, mode, "-", "-", units, "yyyy-MM", ("-", "-"))
     df = with_start(products, mode).withColumn("_series", _series(units, polarisations, _name_has))
     df = df.filter("startdate IS NOT NULL")
     return _counted(df, F.month("startdate"), "polarisation", F.count(F.lit(1)).alias("n")).withColumnRenamed(
@@ -110,9 +130,10 @@ def count_per_calendar_month(
 
 
 def count_per_year_pass(
-    products: DataFrame, first: int = 2013, last: int = 2024, mode: str = "default", units: list[str] = K.UNITS
+    products: DataFrame, first: int | None = None, last: int | None = None, mode: str = "default", units: list[str] | None = None
 ) -> DataFrame:
     """Products per year, unit and orbit direction; every year present; stacking base."""
+    first, last, units = _span(products, mode, first, last, units, "yyyy", (2013, 2024))
     passed = with_start(products, mode).withColumn("_pass", N.orbit_pass("Attributes"))
     df = passed.withColumn("_series", _series(units, K.PASSES, lambda p: F.col("_pass").contains(p)))
     n = _counted(df, F.year("startdate").cast("string"), "pass", F.count(F.lit(1)).alias("n"))
@@ -121,10 +142,11 @@ def count_per_year_pass(
 
 
 def volume_per_period(
-    products: DataFrame, freq: str = "year", first: str = "2013", last: str = "2024", mode: str = "default",
-    units: list[str] = K.UNITS, polarisations: list[str] = K.POLARISATIONS,
+    products: DataFrame, freq: str = "year", first: str | None = None, last: str | None = None, mode: str = "default",
+    units: list[str] | None = None, polarisations: list[str] = K.POLARISATIONS,
 ) -> DataFrame:
     """Volume and number of products per year or month, unit and polarisation; stacking base."""
+    first, last, units = _span(products, mode, first, last, units, "yyyy" if freq == "year" else "yyyy-MM", ("2013", "2024") if freq == "year" else ("2013-01", "2024-12"))
     if freq not in ("year", "month"):
         raise ValueError(freq)
     df = with_start(products, mode).withColumn("_series", _series(units, polarisations, _name_has))
@@ -149,22 +171,24 @@ def _year_cells(years: Column, series: str) -> Column:
 
 
 def count_per_year_wide(
-    products: DataFrame, first: int = 2014, last: int = 2023, polarisations: list[str] = K.POLARISATIONS
+    products: DataFrame, first: int | None = None, last: int | None = None, polarisations: list[str] = K.POLARISATIONS
 ) -> DataFrame:
     """One row per year, one column per polarisation, by ``<polarisation>_<year>`` in the name."""
+    first, last, _ = _span(products, "default", first, last, K.UNITS, "yyyy", (2014, 2023))
     cells = F.flatten(F.array(*[_year_cells(_named_years(first, last, F.lit(p)), p) for p in polarisations]))
     return _wide(products, cells, first, last, polarisations)
 
 
 def count_per_year_unit_wide(
-    products: DataFrame, first: int = 2013, last: int = 2024, drop_empty: bool = False,
-    units: list[str] = K.UNITS, polarisations: list[str] = K.POLARISATIONS,
+    products: DataFrame, first: int | None = None, last: int | None = None, drop_empty: bool = False,
+    units: list[str] | None = None, polarisations: list[str] = K.POLARISATIONS,
 ) -> DataFrame:
     """One row per year, one column per unit and polarisation.
 
     ``drop_empty`` leaves out columns that are zero in every year; it looks at the
     aggregated table, a few rows, to do so.
     """
+    first, last, units = _span(products, "default", first, last, units, "yyyy", (2013, 2024))
     labels, cells = [], []
     for u in units:
         for p in polarisations:
@@ -223,9 +247,10 @@ def volume_by_sea_threshold(
 
 
 def count_available_per_year(
-    products: DataFrame, available: str = "available", first: int = 2013, last: int = 2024, mode: str = "default"
+    products: DataFrame, available: str = "available", first: int | None = None, last: int | None = None, mode: str = "default"
 ) -> DataFrame:
     """All products and locally held products per year (``mode="reference"``: by ``_<year>`` in the name)."""
+    first, last, _ = _span(products, mode, first, last, K.UNITS, "yyyy", (2013, 2024))
     if mode == "reference":
         df = products.withColumn("year", F.explode(_named_years(first, last)))
     else:
@@ -238,14 +263,15 @@ def count_available_per_year(
 
 
 def count_per_month_window(
-    products: DataFrame, first: str = "2013-01", last: str = "2024-12", mode: str = "default",
-    units: list[str] = K.UNITS, polarisations: list[str] = K.POLARISATIONS,
+    products: DataFrame, first: str | None = None, last: str | None = None, mode: str = "default",
+    units: list[str] | None = None, polarisations: list[str] = K.POLARISATIONS,
 ) -> DataFrame:
     """Products per month, unit and polarisation (text ``<polarisation>_`` in the name).
 
     ``mode="reference"``: a month is the 30 days from its first day, so the 31st
     belongs to no month and early March also to February.
     """
+    first, last, units = _span(products, mode, first, last, units, "yyyy-MM", ("2013-01", "2024-12"))
     df = with_start(products, mode).withColumn(
         "_series", _series(units, polarisations, lambda p: F.col("Name").contains(F.concat(p, F.lit("_"))))
     )

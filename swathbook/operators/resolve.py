@@ -18,12 +18,11 @@ def resolve_ids(listing: DataFrame, catalog: DataFrame, name: str = "safename",
     """(``line_no``, ``id``, ``safename``, ``S3Path``): each listed name once, unknown names with null id.
 
     Repeated names keep their first line; of several products with one name the
-    lowest Id counts. Both sides are unique before they meet.
+    lowest Id counts. The catalog is cut to the listed names before it is made unique.
     """
     wanted = first_per_name(listing.select(line, name), name, [line])
-    known = first_per_name(
-        catalog.select("Id", F.col("Name").alias(name), "S3Path").filter(F.col(name).isNotNull()), name, ["Id"]
-    )
+    asked = catalog.select("Id", F.col("Name").alias(name), "S3Path").join(wanted.select(name), name, "left_semi")
+    known = asked.groupBy(name).agg(F.min(F.struct("Id", "S3Path")).alias("_first")).select(name, "_first.Id", "_first.S3Path")
     return wanted.join(known, name, "left").select(
         line, F.col("Id").alias("id"), name, P.strip_bucket("S3Path").alias("S3Path")
     )

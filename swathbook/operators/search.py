@@ -365,10 +365,19 @@ def search_counters(requests: DataFrame, found: DataFrame, top: int = K.DEFAULT_
 
 
 def published_after(
-    catalog: DataFrame, since, unit: str, product_type: str, cap: int = K.PUBLISHED_AFTER_CAP
+    catalog: DataFrame, since, unit: str, product_type: str, cap: int | None = None
 ) -> DataFrame:
-    """Earliest published products of a unit and type since a date, up to ``cap``."""
-    return _published(catalog, since, unit, product_type).orderBy("PublicationDate", "Id").limit(cap)
+    """Products of a unit and type published since a date.
+
+    With ``cap``, the earliest published so many, and ``capped``, which tells that there are more.
+    """
+    found = _published(catalog, since, unit, product_type)
+    if cap is None:
+        return found
+    first = found.orderBy("PublicationDate", "Id").limit(cap + 1)
+    rank = F.row_number().over(Window.orderBy("PublicationDate", "Id"))  # over cap + 1 rows
+    more = F.max("_rank").over(Window.partitionBy(F.lit(1))) > cap
+    return first.withColumn("_rank", rank).withColumn("capped", more).filter(F.col("_rank") <= cap).drop("_rank")
 
 
 def published_after_total(catalog: DataFrame, since, unit: str, product_type: str) -> DataFrame:

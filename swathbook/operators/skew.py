@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 ROWS_PER_SLOT = 1_000_000
 #: Rows up to which a measured side is broadcast.
 BROADCAST_ROWS = 500_000
-#: At most this many keys are split. Keys beyond it hold less than 1/4096 of all rows each,
-#: so the table of split keys is small whatever the data.
-MAX_SPLIT_KEYS = 4096
-#: Upper bound of the copies made of a matching row of the other side.
-MAX_SLOTS = 4096
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -22,16 +17,13 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def split_keys(df: DataFrame, keys: list[str], rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
-    """Keys with more than ``rows_per_slot`` rows and the number of slots they need."""
+    """Keys with more than ``rows_per_slot`` rows and the number of slots they need.
+
+    There are at most rows / rows_per_slot such keys, which bounds what the join broadcasts.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.filter(F.col("_rows") > rows_per_slot)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_SPLIT_KEYS)
-        .select(
-            *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            F.least(F.ceil(F.col("_rows") / rows_per_slot), F.lit(MAX_SLOTS)).cast("int").alias("_slots"),
-        )
+    return counts.filter(F.col("_rows") > rows_per_slot).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.ceil(F.col("_rows") / rows_per_slot).cast("int").alias("_slots")
     )
 
 

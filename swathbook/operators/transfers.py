@@ -73,7 +73,7 @@ def transfer_eta(log: DataFrame) -> DataFrame:
     minutes = F.concat(
         F.floor(eta / 60).cast("string"), F.lit("m"), F.lpad((eta % 60).cast("string"), 2, "0"), F.lit("s")
     )
-    text = F.when(eta.isNull(), "warming up…").when(eta >= 3600, hours).otherwise(minutes)
+    text = F.when(eta >= 3600, hours).otherwise(minutes)
     return df.withColumn("eta", text).drop("_avg_t")
 
 

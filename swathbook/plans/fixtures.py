@@ -15,7 +15,7 @@ from swathbook.functions import geometry as G
 from swathbook.functions import names as N
 from swathbook.functions import paths as P
 
-ARCHIVES = ["/home/data/archive", "/scale/sar/archive"]
+ARCHIVES = ["/home/data/archive", "/home/old/archive"]
 SPOOLS = ["/home/spool"]
 OUTDIR = "/home/out"
 

@@ -80,7 +80,7 @@ FROM (
      || '/' || Name AS full_path
   FROM (
     SELECT *, 'archive' AS tier, '/home/data/archive' AS root FROM prod WHERE event_type = 'click' AND value <= 10
-    UNION ALL SELECT *, 'archive', '/scale/sar/archive' FROM prod WHERE event_type = 'click' AND value > 8
+    UNION ALL SELECT *, 'archive', '/home/old/archive' FROM prod WHERE event_type = 'click' AND value > 8
     UNION ALL SELECT *, 'spool', '/home/spool' FROM prod WHERE event_type IN ('view', 'click') AND value > 30
     UNION ALL SELECT *, 'outdir', '/home/out' FROM prod WHERE event_type IN ('error', 'view') AND value > 15
   )
@@ -137,7 +137,7 @@ SELECT safename, tier, rank + v AS rank,
 FROM (
   SELECT *, unnest(range(0, 3)) AS v FROM (
     SELECT safename, 'archive' AS tier, 0 AS rank, '/home/data/archive' || {_DIR} AS base FROM nm WHERE contains(safename, 'S1')
-    UNION ALL SELECT safename, 'archive', 3, '/scale/sar/archive' || {_DIR} FROM nm WHERE contains(safename, 'S1')
+    UNION ALL SELECT safename, 'archive', 3, '/home/old/archive' || {_DIR} FROM nm WHERE contains(safename, 'S1')
     UNION ALL SELECT safename, 'spool', 6, '/home/spool/' || safename FROM nm
     UNION ALL SELECT safename, 'outdir', 9, '/home/out/' || safename FROM nm
   )

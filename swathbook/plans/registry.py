@@ -65,7 +65,7 @@ def ts(c: str) -> str:
     ),
 )
 def search_latest(spark: SparkSession, sf: str) -> DataFrame:
-    found = L.fetch_data(X.requests(spark, sf), X.catalog(spark, sf))
+    found = L.fetch_data(X.requests(spark, sf), X.catalog(spark, sf), geometry=False)
     return found.groupBy("id_original_query").agg(
         F.count(F.lit(1)).alias("n_products"),
         F.count_if(F.col("Id").endswith("-v2")).alias("n_new_versions"),
@@ -151,7 +151,7 @@ def missing_names(spark: SparkSession, sf: str) -> DataFrame:
     sql(["latest"], "SELECT id_original_query, count(*) AS n_products FROM latest GROUP BY id_original_query"),
 )
 def products_per_query(spark: SparkSession, sf: str) -> DataFrame:
-    return S.products_per_query(L.fetch_data(X.requests(spark, sf), X.catalog(spark, sf)))
+    return S.products_per_query(L.fetch_data(X.requests(spark, sf), X.catalog(spark, sf), geometry=False))
 
 
 _NATION = {
@@ -172,7 +172,7 @@ _NATION = {
 def fetch_grouped(spark: SparkSession, sf: str) -> DataFrame:
     """Several requests per query id: a product found twice counts once."""
     req = X.requests(spark, sf).withColumn("id_query", F.col("nation_query"))
-    found = L.fetch_data(req, X.catalog(spark, sf))
+    found = L.fetch_data(req, X.catalog(spark, sf), geometry=False)
     return found.groupBy("id_original_query").agg(F.count(F.lit(1)).alias("n_products"), F.min("Id").alias("first_id"))
 
 
@@ -187,7 +187,7 @@ def fetch_grouped(spark: SparkSession, sf: str) -> DataFrame:
 def fetch_sliced(spark: SparkSession, sf: str) -> DataFrame:
     """The same over three-day slices: exact slicing loses nothing and repeats nothing."""
     req = X.requests(spark, sf).withColumn("id_query", F.col("nation_query"))
-    found = L.fetch_data(req, X.catalog(spark, sf), timedelta_slice=dt.timedelta(days=3))
+    found = L.fetch_data(req, X.catalog(spark, sf), timedelta_slice=dt.timedelta(days=3), geometry=False)
     return found.groupBy("id_original_query").agg(F.count(F.lit(1)).alias("n_products"), F.min("Id").alias("first_id"))
 
 
@@ -196,14 +196,24 @@ _PUB = """published > TIMESTAMP '2024-01-20 00:00:00' AND Name LIKE 'S1A%' AND p
 
 @register(
     "published_after",
-    sql(["cat"], f"SELECT Id, Name, {ts('published')} AS published FROM cat WHERE {_PUB} ORDER BY published, Id LIMIT 2000"),
+    sql(["cat"], f"SELECT Id, Name, {ts('published')} AS published FROM cat WHERE {_PUB}"),
 )
 def published_after(spark: SparkSession, sf: str) -> DataFrame:
-    """Capped at 2000 (the limit is the feature)."""
     found = S.published_after(X.catalog(spark, sf), "2024-01-20 00:00:00", "S1A", "IW_GRDH_1S")
     return found.select("Id", "Name", _text("PublicationDate").alias("published"))
 
 
+@register(
+    "published_after_capped",
+    sql(["cat"], f"""SELECT Id, {ts('published')} AS published, (SELECT count(*) FROM cat WHERE {_PUB}) > 50 AS capped
+        FROM cat WHERE {_PUB} ORDER BY published, Id LIMIT 50"""),
+)
+def published_after_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 50; the limit is the feature."""
+    found = S.published_after(X.catalog(spark, sf), "2024-01-20 00:00:00", "S1A", "IW_GRDH_1S", cap=50)
+    return found.select("Id", _text("PublicationDate").alias("published"), "capped")
+
+
 @register("published_after_total", sql(["cat"], f"SELECT count(*) AS total FROM cat WHERE {_PUB}"))
 def published_after_total(spark: SparkSession, sf: str) -> DataFrame:
     return S.published_after_total(X.catalog(spark, sf), "2024-01-20 00:00:00", "S1A", "IW_GRDH_1S")
@@ -229,7 +239,7 @@ def name_filters(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def common_products(spark: SparkSession, sf: str) -> DataFrame:
-    return S.common_products(L.fetch_data(X.requests(spark, sf), X.catalog(spark, sf)), "R9", "R3")
+    return S.common_products(L.fetch_data(X.requests(spark, sf), X.catalog(spark, sf), geometry=False), "R9", "R3")
 
 
 # ===================================================================== requests
@@ -936,7 +946,7 @@ def transfer_errors(spark: SparkSession, sf: str) -> DataFrame:
     sql(
         ["xfer"],
         """SELECT round(a, 6) AS avg_speed, round(mn, 6) AS min_speed, round(mx, 6) AS max_speed, remaining, parallel, eta_seconds,
-           CASE WHEN eta_seconds IS NULL THEN 'warming up…' WHEN eta_seconds >= 3600 THEN (eta_seconds // 3600) || 'h' || printf('%02d', eta_seconds % 3600 // 60) || 'm'
+           CASE WHEN eta_seconds IS NULL THEN NULL WHEN eta_seconds >= 3600 THEN (eta_seconds // 3600) || 'h' || printf('%02d', eta_seconds % 3600 // 60) || 'm'
              ELSE (eta_seconds // 60) || 'm' || printf('%02d', eta_seconds % 60) || 's' END AS eta
            FROM (SELECT *, CAST(floor(tm * remaining / parallel) AS BIGINT) AS eta_seconds FROM (
              SELECT avg(speed) FILTER (status_meaning = 'Downloaded') AS a, min(speed) FILTER (status_meaning = 'Downloaded') AS mn,
