@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from swathbook.llm.shared import write_table
+
 #: Standard deviations below the posterior mean.
 Z = 1.645
 #: Smallest lower bound of the share of good pages.
@@ -120,12 +122,13 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[Rule], id: str =
     """
     keyed = pages.select(F.col(id).alias("id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     marks = labels.select(F.col(label_id).alias("id"), F.col(outcome).alias("outcome")).where("id is not null and outcome is not null")
-    known = reputation(keyed.select("id", "host").join(marks, "id"))
+    known = write_table(reputation(keyed.select("id", "host").join(marks, "id")), "reputation")  # read four times below
     levels = _fallbacks(known)
     hosts = keyed.select("host").distinct().withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
     own = known.select("host", F.col("rate").alias("own_rate"), F.col("weight").alias("own_weight"), "n")
     domain = known.groupBy("domain").agg(F.min("domain_rate").alias("domain_rate"))
     suffix = known.groupBy("suffix").agg(F.min("suffix_rate").alias("suffix_rate"))
+    hosts = write_table(hosts, "hosts")
     judged = hosts.join(own, "host", "left").join(domain, "domain", "left").join(suffix, "suffix", "left").join(F.broadcast(levels), how="inner")
     rate = F.coalesce("own_rate", "domain_rate", "suffix_rate", "all_rate")
     total = F.coalesce("n", F.lit(0)) + F.coalesce("own_weight", "host_weight")
