@@ -12,14 +12,14 @@ from swathbook.functions import geometry as G
 from swathbook.functions import names as N
 from swathbook.operators.once import computed_once
 from swathbook.operators.requests import normalize_requests
-from swathbook.operators.skew import BROADCAST_ROWS, ROWS_PER_SLOT, skew_join
+from swathbook.operators.skew import BROADCAST_ROWS, PAIRS_PER_SLOT, ROWS_PER_SLOT, grid_join
 
 DAY = 86_400
 BLOCK_DAYS = 32
 CELL_DEGREES = 20.0
 
-# levels of the time key: single days, blocks of days, and one bucket for open windows
-_DAYS, _BLOCKS, _OPEN = 0, 1, 2
+# levels of the time key: single days and blocks of days
+_DAYS, _BLOCKS = 0, 1
 
 
 @dataclass(frozen=True)
@@ -32,8 +32,8 @@ class RequestProfile:
     has_open: bool
     has_area: bool
     has_no_area: bool
-    first_start: object
-    last_end: object
+    first_start: int | None  # microseconds since 1970, as last_end
+    last_end: int | None
     first_month: str | None
     last_month: str | None
     collection: str | None
@@ -47,10 +47,10 @@ def _second(c: str) -> Column:
 def _time_keys(blocks: bool) -> Column:
     """Time keys of a request: single days, with whole blocks of days where ``blocks`` allows.
 
-    A window without one of its bounds has the single key of the open bucket.
+    An open side reaches to the catalog's first or last start.
     """
-    first = F.floor(F.unix_seconds("_from") / DAY).cast("int")
-    last = F.floor(F.unix_seconds("_to") / DAY).cast("int")
+    first = F.floor(F.unix_seconds("_key_from") / DAY).cast("int")
+    last = F.floor(F.unix_seconds("_key_to") / DAY).cast("int")
     block_from = F.ceil(first / BLOCK_DAYS).cast("int")
     block_to = F.floor((last + 1) / BLOCK_DAYS).cast("int") - 1
     none = F.array().cast("array<struct<level:int,bucket:int>>")
@@ -71,10 +71,7 @@ def _time_keys(blocks: bool) -> Column:
     windowed = keys(_DAYS, first, last)
     if blocks:
         windowed = F.when(block_from <= block_to, with_blocks).otherwise(windowed)
-    is_open = F.col("_from").isNull() | F.col("_to").isNull()
-    return F.when(
-        is_open, F.array(F.struct(F.lit(_OPEN).alias("level"), F.lit(0).alias("bucket")))
-    ).otherwise(windowed)
+    return windowed
 
 
 _NO_CELL = -999
@@ -84,8 +81,17 @@ def _no_cell() -> Column:
     return F.struct(F.lit(_NO_CELL).alias("cx"), F.lit(_NO_CELL).alias("cy"))
 
 
-def prepare_requests(requests: DataFrame, mode: str = "default", cell_degrees: float = CELL_DEGREES) -> DataFrame:
-    """Normalised requests with the key arrays of the join."""
+def prepare_requests(
+    requests: DataFrame,
+    mode: str = "default",
+    cell_degrees: float = CELL_DEGREES,
+    span: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Normalised requests with the key arrays of the join.
+
+    ``span``: first and last start of the catalog in seconds since 1970, where open windows end; without it they have
+    no time keys.
+    """
     df = requests if "id_original_query" in requests.columns else normalize_requests(requests)
     if "slice_no" not in df.columns:
         df = df.withColumn("slice_no", F.lit(0).cast("bigint"))
@@ -110,6 +116,9 @@ def prepare_requests(requests: DataFrame, mode: str = "default", cell_degrees: f
         F.when(spatial, G.exterior_only("area")).alias("_area"),
     )
     df = computed_once(df, {c: F.col(c) for c in ("_from", "_to", "_area")})
+    none = F.lit(None).cast("timestamp")
+    first, last = [none if t is None else F.timestamp_seconds(F.lit(t)) for t in span or (None, None)]
+    df = df.withColumn("_key_from", F.coalesce("_from", first)).withColumn("_key_to", F.coalesce("_to", last))
     df = computed_once(df, {"_area_box": G.bbox("_area"), "_area_is_box": G.is_box("_area"), "_times": _time_keys(True)})
     return df.withColumn("_cells", F.coalesce(G.cells(F.col("_area_box"), cell_degrees), F.array(_no_cell())))
 
@@ -117,7 +126,7 @@ def prepare_requests(requests: DataFrame, mode: str = "default", cell_degrees: f
 def profile_requests(prepared: DataFrame) -> RequestProfile:
     """One aggregated row: decides the join strategy and the literal scan filters."""
     is_open = F.col("_from").isNull() | F.col("_to").isNull()
-    days = F.when(is_open, 1).otherwise(F.greatest(F.datediff("_to", "_from") + 1, F.lit(0)))
+    days = F.coalesce(F.greatest(F.datediff("_key_to", "_key_from") + 1, F.lit(0)), F.lit(0))
     first_start = F.when(F.count_if(F.col("_from").isNull()) == 0, F.min("_from"))
     last_end = F.when(F.count_if(F.col("_to").isNull()) == 0, F.max("_to"))
     row = prepared.agg(
@@ -127,8 +136,8 @@ def profile_requests(prepared: DataFrame) -> RequestProfile:
         F.coalesce(F.max(is_open), F.lit(False)).alias("open"),
         F.coalesce(F.max(F.col("_area").isNotNull()), F.lit(False)).alias("area"),
         F.coalesce(F.max(F.col("_area").isNull()), F.lit(False)).alias("no_area"),
-        first_start.alias("first_start"),
-        last_end.alias("last_end"),
+        F.unix_micros(first_start).alias("first_start"),
+        F.unix_micros(last_end).alias("last_end"),
         F.date_format(first_start, "yyyy-MM").alias("first_month"),
         F.date_format(last_end, "yyyy-MM").alias("last_month"),
         F.when(
@@ -172,25 +181,38 @@ def _prune(catalog: DataFrame, p: RequestProfile) -> DataFrame:
     if p.collection is not None:
         catalog = catalog.filter(F.col("collection") == p.collection)
     if p.first_start is not None:
-        catalog = catalog.filter(F.col("content_start") >= F.lit(p.first_start))
+        catalog = catalog.filter(F.col("content_start") >= F.timestamp_micros(F.lit(p.first_start)))
         if "start_month" in catalog.columns:
             catalog = catalog.filter(F.col("start_month") >= p.first_month)
     if p.last_end is not None:
-        catalog = catalog.filter(F.col("content_start") < F.lit(p.last_end))
+        catalog = catalog.filter(F.col("content_start") < F.timestamp_micros(F.lit(p.last_end)))
         if "start_month" in catalog.columns:
             catalog = catalog.filter(F.col("start_month") <= p.last_month)
     return catalog
 
 
-def _prepare_catalog(catalog: DataFrame, p: RequestProfile, cell_degrees: float) -> DataFrame:
-    """Products repeated once per key a request might ask them by (usually one or two)."""
-    day = F.floor(F.unix_seconds("content_start") / DAY).cast("int")
+def catalog_span(catalog: DataFrame) -> tuple[int, int]:
+    """First and last start of the products, in seconds; one aggregate over one column."""
+    start = F.unix_seconds("content_start")
+    row = catalog.agg(F.min(start).alias("first"), F.max(start).alias("last")).first()
+    return (0, 0) if row["first"] is None else (row["first"], row["last"])
+
+
+def _prepare_catalog(
+    catalog: DataFrame, p: RequestProfile, cell_degrees: float, span: tuple[int, int] | None
+) -> DataFrame:
+    """Products repeated once per key a request might ask them by (usually one or two).
+
+    A product without a start is only found by windows open on both sides; it lies on the catalog's first day.
+    """
+    start = F.unix_seconds("content_start")
+    if span is not None:
+        start = F.coalesce(start, F.lit(span[0]))
+    day = F.floor(start / DAY).cast("int")
     key = lambda level, bucket: F.struct(F.lit(level).alias("level"), bucket.alias("bucket"))
     times = [key(_DAYS, day)]
     if p.has_blocks:
         times.append(key(_BLOCKS, F.floor(day / BLOCK_DAYS).cast("int")))
-    if p.has_open:
-        times.append(key(_OPEN, F.lit(0)))
     df = _prune(catalog, p).withColumn("_modes", _attribute_values(catalog, "operationalMode"))
     df = df.withColumn("_types", _attribute_values(catalog, "productType"))
     cells = F.array().cast("array<struct<cx:int,cy:int>>")
@@ -250,16 +272,18 @@ def search(
     cell_degrees: float = CELL_DEGREES,
     rows_per_slot: int = ROWS_PER_SLOT,
     broadcast_keys: int = BROADCAST_ROWS,
+    pairs_per_slot: int = PAIRS_PER_SLOT,
 ) -> DataFrame:
     """Products matching each request, tagged ``id_original_query``, ``request_key``, ``slice_no``.
 
     The request window is cut into day keys (blocks of 32 days where it is long),
-    its area into grid cells; a product has its own day and the cells of its box. A
+    its area into grid cells; a product has its own day and the cells of its box. Open
+    windows reach to the catalog's first or last start, which one aggregate finds. A
     pair meets under exactly one time key and is reported in exactly one cell, so
     the result needs no distinct. One aggregate over the request table chooses the
     strategy: when the request keys number at most ``broadcast_keys`` they are
     broadcast and the catalog is not shuffled; otherwise both sides shuffle on
-    (time, cell) with hot keys split.
+    (time, cell), and keys with many rows or many pairs are cut on both sides.
 
     ``top`` keeps the first rows of each (request, slice) by start and Id and sets
     ``capped``; by default nothing is cut. ``mode="reference"`` gives MULTIPOLYGON
@@ -267,6 +291,11 @@ def search(
     """
     prepared = prepare_requests(requests, mode, cell_degrees)
     profile = profile_requests(prepared)
+    span = None
+    if profile.has_open:
+        span = catalog_span(_prune(catalog, profile))
+        prepared = prepare_requests(requests, mode, cell_degrees, span)
+        profile = profile_requests(prepared)
     if profile.day_keys <= broadcast_keys:
         # few enough single days: products then need no second key for the blocks
         profile = replace(profile, keys=profile.day_keys, has_blocks=False)
@@ -274,7 +303,7 @@ def search(
     # outer explodes: a null key never joins, and no filter over the whole key expression is derived
     req = prepared.withColumn("_time", F.explode_outer("_times")).withColumn("_cell", F.explode_outer("_cells"))
     req = _flat_keys(req.drop("_times", "_cells"))
-    products = _flat_keys(_prepare_catalog(catalog, profile, cell_degrees))
+    products = _flat_keys(_prepare_catalog(catalog, profile, cell_degrees, span))
     shared = G.shared_cell(F.col("box"), F.col("_area_box"), cell_degrees)
     condition = _asked(profile, (F.col("_cx") == shared["cx"]) & (F.col("_cy") == shared["cy"]))
     if strategy == "auto":
@@ -282,7 +311,8 @@ def search(
     if strategy == "broadcast":
         pairs = products.join(F.broadcast(req), _KEYS, "inner").filter(condition)
     else:
-        pairs = skew_join(products, req, _KEYS, "inner", rows_per_slot, condition, row_id=["Id"])
+        asked_by = ["request_key", "slice_no"]
+        pairs = grid_join(products, req, _KEYS, rows_per_slot, pairs_per_slot, condition, ["Id"], asked_by)
     tags = ["id_original_query", "request_key", "slice_no"]
     found = pairs.select(*tags, *[c for c in catalog.columns if c not in tags])
     return found if top is None else cap_per_request(found, top)

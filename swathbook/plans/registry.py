@@ -113,6 +113,43 @@ def search_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register(
+    "search_hot_requests",
+    sql(
+        ["cat"],
+        """SELECT CAST(c_custkey AS VARCHAR) AS request_key, count(*) AS n, min(Id) AS first_id, max(Id) AS last_id FROM customer JOIN cat
+           ON content_start > TIMESTAMP '2024-01-05 00:00:00' + to_seconds(c_custkey * 53 % 86400)
+           AND content_start < TIMESTAMP '2024-01-05 00:00:00' + to_seconds(c_custkey * 53 % 86400 + 600) GROUP BY 1""",
+    ),
+)
+def search_hot_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """One request per customer, ten minutes long and all on one day: hot on both sides of the join."""
+    k = F.col("c_custkey")
+    first = F.unix_seconds(F.lit("2024-01-05 00:00:00").cast("timestamp")) + k * 53 % 86_400
+    req = X.table(spark, sf, "customer").select(
+        k.cast("string").alias("request_key"),
+        F.timestamp_seconds(first).alias("startdate"),
+        F.timestamp_seconds(first + 600).alias("stopdate"),
+    )
+    found = S.search(req, X.catalog(spark, sf), strategy="shuffle", rows_per_slot=1000, pairs_per_slot=50_000)
+    return found.groupBy("request_key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("Id").alias("first_id"), F.max("Id").alias("last_id")
+    )
+
+
+@register(
+    "search_open_windows",
+    sql(["hits"], "SELECT h.request_key, count(*) AS n, min(h.Id) AS first_id, max(h.Id) AS last_id FROM hits h JOIN req r ON r.request_key = h.request_key WHERE CAST(h.request_key AS BIGINT) % 13 = 12 OR CAST(h.request_key AS BIGINT) % 11 = 10 GROUP BY 1"),
+)
+def search_open_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests without a start or an end."""
+    req = X.requests(spark, sf).filter("startdate IS NULL OR stopdate IS NULL")
+    found = S.search(req, X.catalog(spark, sf), strategy="shuffle")
+    return found.groupBy("request_key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("Id").alias("first_id"), F.max("Id").alias("last_id")
+    )
+
+
 @register(
     "search_top",
     sql(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from swathbook.operators import requests as R
 from swathbook.operators import search as S
-from swathbook.operators.skew import skew_join
+from swathbook.operators.skew import grid_join, skew_join
 from swathbook.plans import fixtures as X
 from swathbook.plans import lifecycle as L
 
@@ -76,3 +76,26 @@ def test_skew_join_equals_plain_join(spark):
         got = skew_join(big, small, ["k"], how, rows_per_slot=100).select("id", "k", "v")
         want = big.join(small, "k", how).select("id", "k", "v")
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_grid_join_cuts_keys_by_rows_of_both_sides_and_by_pairs(spark):
+    big = spark.range(900).select("id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 50).alias("k"))
+    other = spark.range(500).select(F.when(F.col("id") % 2 > 0, 7).otherwise(F.col("id") % 60).alias("k"), (F.col("id") * 2).alias("v"))
+    want = big.join(other, "k").select("id", "k", "v")
+    for rows, pairs in ((100, 10**9), (10**6, 5000), (100, 300), (10**6, 10**9)):
+        got = grid_join(big, other, ["k"], rows, pairs).select("id", "k", "v")
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_open_windows_reach_the_ends_of_the_catalog(spark, sf):
+    catalog = X.catalog(spark, sf)
+    lost = catalog.limit(1).withColumn("Id", F.lit("no start")).withColumn("content_start", F.lit(None).cast("timestamp"))
+    catalog = catalog.unionByName(lost)
+    rows = [("all", None, None), ("from", "2024-01-10", None), ("to", None, "2024-01-10"), ("late", "2090-01-01", None)]
+    req = spark.createDataFrame([(k, k, a, b, None, None) for k, a, b in rows], REQ)
+    first, other = F.col("content_start") > "2024-01-10", F.col("content_start") < "2024-01-10"
+    want = {"all": catalog.count(), "from": catalog.filter(first).count(), "to": catalog.filter(other).count()}
+    for strategy in ("broadcast", "shuffle"):
+        found = S.search(req, catalog, strategy=strategy, rows_per_slot=500, pairs_per_slot=1000)
+        assert {r["request_key"]: r["n"] for r in found.groupBy("request_key").agg(F.count(F.lit(1)).alias("n")).collect()} == want
+    assert S.search(req, catalog.limit(0)).isEmpty()
