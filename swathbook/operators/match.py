@@ -146,7 +146,8 @@ def match_siblings(
     if target_type not in K.TARGET_TYPES:
         raise ValueError(f"unknown target type {target_type!r}, expected one of {K.TARGET_TYPES}")
     src = _sources(listing, name, target_type, "1" if mode == "reference" else "0")
-    cand = _candidates(catalog, target_type)
+    asked = src.filter("_start IS NOT NULL").select(*_GROUP).distinct()
+    cand = _candidates(catalog, target_type).join(asked, _GROUP, "left_semi")  # only groups of the listing
 
     exact = _exact(cand).select(*_GROUP, "_text", F.col("_c").alias("_exact"))
     near = _nearest(src, cand, bucket_seconds)
