@@ -74,4 +74,5 @@ def match_new_listings(
 def _earlier_results(spark: SparkSession, path: str, number: int) -> DataFrame | None:
     if number == 0:
         return None
-    return spark.read.parquet(path).filter(F.col("batch") < number)
+    # a schema of its own: earlier batches without names leave no file to take one from
+    return spark.read.schema("source_id string, batch int").parquet(path).filter(F.col("batch") < number)

@@ -48,6 +48,16 @@ def test_streamed_catalog_continues(spark, tmp_path):
         assert RD.read_catalog(spark, str(tmp_path / "cat")).count() == i + 1
 
 
+def test_streamed_match_continues_after_a_batch_without_names(spark, sf, tmp_path):
+    listings, catalog = tmp_path / "in", X.catalog(spark, sf)
+    listings.mkdir()
+    name = catalog.filter("Name LIKE '%_SLC__1S%'").first()["Name"]
+    for i, text in enumerate(["\n\n", f"{name}\n", f"{name}\n"]):
+        (listings / f"{i}.txt").write_text(text)
+        INC.match_new_listings(spark, str(listings), catalog, "GRDH", str(tmp_path / "out"), str(tmp_path / "chk")).awaitTermination()
+    assert [r["source_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [name]
+
+
 def test_features_and_listings(spark, tmp_path):
     f = tmp_path / "f.json"
     feature = {"id": "x", "properties": {"title": NAMES[0]}}
