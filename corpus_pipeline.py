@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from swathbook.llm.language import fit_languages, identify_languages
 from swathbook.llm.mixing import mix
-from swathbook.llm.near_documents import near_duplicates
+from swathbook.llm.near_documents import SPREAD, near_duplicates
 from swathbook.llm.phrases import phrase_matches
 from swathbook.llm.shared import write_table
 from swathbook.llm.sharding import assign_shards
@@ -40,7 +40,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows with a null text are no duplicates of anything and stay.
     """
-    found = write_table(near_duplicates(docs).select(F.col("doc_id").alias("id"), "text_key", "class_key").where("text_key is not null"), "classes")
+    found = write_table(near_duplicates(docs, spread=SPREAD).select(F.col("doc_id").alias("id"), "text_key", "class_key").where("text_key is not null"), "classes")
     heads = found.where("text_key = class_key").groupBy("text_key").agg(F.min("id").alias("id"))
     heads = heads.withColumn("head", F.lit(True))
     rows = found.groupBy("text_key", "id").agg(F.count(F.lit(1)).alias("n"))

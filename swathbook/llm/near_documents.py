@@ -5,20 +5,22 @@ shingle such that two documents agree with a probability equal to their weighted
 are bucket keys; pairs that share a bucket are verified by the exact weighted Jaccard similarity of their whole texts,
 and verified pairs are joined by a distributed union-find.
 
-idf = ln(1 + N / max(df, FLOOR * N)), over all N rows. Shingles rarer than FLOOR weigh alike, so only the frequent ones
-need exact counts. One pass finds those that are frequent in some group of rows (whatever has df >= FLOOR * N is), the
-second counts them exactly. At most 2 * (mean shingles of a text) / FLOOR shingles can pass, whatever the number of
-texts, which bounds the table that is broadcast.
+Document frequencies of all shingles are counted. Distinct texts are packed in batches; a batch counts its own shingles
+and sends them, cut in bins by hash, to where a bin's counts are summed; the sums go back to the batches that asked. A
+shingle that all batches have is one entry of each, so no key grows with its frequency. ``_idf`` has the two scales.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swathbook.llm.components import crowded, linked
@@ -28,8 +30,12 @@ from swathbook.llm.words import mix64, shingles, words
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 4
-#: Shingles in less than this share of the documents all have the largest idf.
+#: Without a spread, shingles in less than this share of the documents all have the largest idf.
 FLOOR = 0.01
+#: Largest over smallest idf, as the registered queries use it.
+SPREAD = 1.5
+#: Bytes of text in a batch, and bytes of text for each bin of shingles.
+LEAST_BATCH, MOST_BATCH, BIN_BYTES = 1 << 18, 1 << 23, 1 << 23
 #: Rows of the table of random variates; a shingle takes the row of its hash.
 VARIATES = 1 << 16
 #: Rows of candidate keys up to which they are broadcast; beyond, the join shuffles.
@@ -43,62 +49,128 @@ def _per_row(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             yield first + i, *np.unique(shingles(hashes[bounds[i] : bounds[i + 1]], WIDTH), return_counts=True)
 
 
-def _frequent_here(share: float):
-    """Shingles in at least ``share`` of the rows of a group of rows; one group has about 2,000 rows."""
+def _idf(df: np.ndarray, n: int, spread: float | None) -> np.ndarray:
+    """idf of shingles in ``df`` of ``n`` documents.
 
-    def flush(group: list[np.ndarray]) -> pa.RecordBatch:
-        values, counts = np.unique(np.concatenate(group), return_counts=True)
-        keep = counts >= share * len(group)
-        return pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(counts[keep])], ["shingle", "n"])
+    With a ``spread``, ln(1 + n / df), but no less than the idf of a single occurrence divided by ``spread``: however
+    large a group of copies is, the words they share keep that much weight against the words they do not share.
+    Without, ln(1 + n / df) where df is FLOOR * n at least.
+    """
+    if spread is None:
+        return np.log1p(n / np.maximum(df, FLOOR * n))
+    return np.maximum(np.log1p(n / df), np.log1p(n) / spread)
+
+
+def _batched(limit: int):
+    """Rows (node, copies, text) to rows (batch, nodes, copies, data); ``data`` are the texts as compressed Arrow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, earlier = [], []
+        number, parts, size = TaskContext.get().partitionId() << 33, [], 0
+
+        def flush() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(parts)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(whole)
+            return pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int64()), "data": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
         for batch in batches:
-            for _, values, _ in _per_row(batch.column(0)):
-                group.append(values)
-                if len(group) >= 2000:
-                    if earlier:
-                        yield flush(earlier)
-                    earlier, group = group, []
-        if earlier or group:
-            yield flush(earlier + group)
+            begin, lengths = 0, pc.binary_length(batch.column("text")).to_pylist()
+            for i, length in enumerate(lengths):
+                size += length
+                if size >= limit:
+                    parts.append(batch.slice(begin, i + 1 - begin))
+                    yield flush()
+                    number, parts, size, begin = number + 1, [], 0, i + 1
+            if begin < len(lengths):
+                parts.append(batch.slice(begin))
+        if parts:
+            yield flush()
 
     return run
 
 
-def _counted(wanted):
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all().combine_chunks()
+
+
+def _asked(bins: int, by_copies: bool):
+    """Each batch's distinct shingles in bins, ascending, and the number of documents of the batch that have them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = wanted.value
-        total = np.zeros(len(keys), np.int64)
-        for batch in batches:
-            for _, values, _ in _per_row(batch.column(0)):
-                total += np.isin(keys, values, assume_unique=True) if len(values) > len(keys) else _hits(keys, values)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(total)], ["shingle", "n"])
+        for rows in batches:
+            for number, data in zip(rows.column("batch").to_pylist(), rows.column("data"), strict=True):
+                held = _unpacked(data.as_buffer())
+                copies = held["copies"].to_numpy() if by_copies else np.ones(len(held), np.int64)
+                found = [(i, v) for i, v, _ in _per_row(held["text"])]
+                values = np.concatenate([v for _, v in found])
+                weight = np.repeat(copies[[i for i, _ in found]], [len(v) for _, v in found])
+                values, which = np.unique(values, return_inverse=True)
+                n = np.bincount(which, weight, minlength=len(values)).astype(np.uint32)
+                place = ((values >> np.uint64(32)) % np.uint64(bins)).astype(np.int64)
+                order = np.argsort(place, kind="stable")
+                used, first = np.unique(place[order], return_index=True)
+                cuts = [*first[1:], len(order)][: len(first)]
+                out = {
+                    "batch": pa.array(np.full(len(used), number), pa.int64()),
+                    "bin": pa.array(used, pa.int64()),
+                    "shingles": pa.array([values[order[a:b]].tobytes() for a, b in zip(first, cuts, strict=True)], pa.binary()),
+                    "n": pa.array([n[order[a:b]].tobytes() for a, b in zip(first, cuts, strict=True)], pa.binary()),
+                }
+                yield pa.RecordBatch.from_pydict(out)
 
     return run
 
 
-def _hits(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(keys, values)
-    at = at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == values)] if len(keys) else at[:0]
-    return np.bincount(at, minlength=len(keys))
+def _answered(n: int, spread: float | None):
+    """For each batch, those of its shingles in a bin that have less than the largest idf, and their frequencies."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["n"]])
+        bounds = np.cumsum([0, *map(len, parts)])
+        df = np.bincount(which := np.unique(np.concatenate(parts), return_inverse=True)[1], counts)
+        common = (_idf(df, n, spread) < _idf(np.ones(1), n, spread))[which]
+        df = np.minimum(df, 0xFFFFFFFF).astype(np.uint32)[which]
+        kept = [common[a:b] for a, b in zip(bounds, bounds[1:])]
+        out = {
+            "batch": table["batch"],
+            "shingles": pa.array([p[k].tobytes() for p, k in zip(parts, kept, strict=True)], pa.binary()),
+            "df": pa.array([df[a:b][k].tobytes() for a, b, k in zip(bounds, bounds[1:], kept)], pa.binary()),
+        }
+        return pa.table(out)
+
+    return run
 
 
-def frequent_shingles(df: DataFrame, text: str = "text", floor: float = FLOOR) -> tuple[int, np.ndarray, np.ndarray]:
-    """Number of rows; shingles with df >= floor * rows in ascending order; their idf."""
-    spark, texts = df.sparkSession, df.select(text)
-    rows = df.count()
-    local = texts.mapInArrow(_frequent_here(floor / 2), "shingle long, n long")
-    maybe = local.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= floor / 2 * rows).toPandas()
-    keys = np.sort(maybe["shingle"].to_numpy(np.int64).view(np.uint64))
-    if len(keys):
-        counted = texts.mapInArrow(_counted(spark.sparkContext.broadcast(keys)), "shingle long, n long")
-        exact = counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= floor * rows).toPandas()
-    else:
-        exact = maybe
-    keys, counts = exact["shingle"].to_numpy(np.int64).view(np.uint64), exact["n"].to_numpy(np.float64)
-    order = np.argsort(keys)
-    return rows, keys[order], np.log1p(rows / counts[order])
+def _signed(n: int, spread: float | None):
+    """Bands of each document of a batch, and the frequencies of its distinct shingles in ascending order."""
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        joined = lambda name, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in answers[name]] or [np.zeros(0, kind)])
+        keys, df = joined("shingles", np.uint64), joined("df", np.uint32)
+        order = np.argsort(keys)
+        keys, df = keys[order], df[order]
+        top = float(_idf(np.ones(1), n, spread)[0])
+        model = keys, _idf(df, n, spread), top
+        often = tuple(float(x) for x in np.unique(_idf(np.array([1.0, n]), n, spread)))
+        nodes, bands, levels = [], [], []
+        for data in texts["data"]:
+            held = _unpacked(data.as_buffer())
+            nodes.extend(held["node"].to_pylist())
+            out: list = [([], b"")] * len(held)
+            for i, values, counts in _per_row(held["text"]):
+                if len(values):
+                    own = np.ones(len(values), np.uint32)
+                    at = np.minimum(np.searchsorted(keys, values), max(len(keys) - 1, 0))
+                    known = keys[at] == values if len(keys) else np.zeros(len(values), bool)
+                    own[known] = df[at[known]]
+                    out[i] = sample_bands(values, counts, model, often=often), own.tobytes()
+            bands.extend(b for b, _ in out)
+            levels.extend(v for _, v in out)
+        return pa.table({"node": pa.array(nodes, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64())), "levels": pa.array(levels, pa.binary())})
+
+    return run
 
 
 def _weights(values: np.ndarray, counts: np.ndarray, model) -> np.ndarray:
@@ -129,24 +201,30 @@ def _scores(rows: np.ndarray, log_weight: np.ndarray, samples: int) -> np.ndarra
 
 
 @lru_cache(2)
-def _plain_scores(samples: int, top: float) -> np.ndarray:
-    """Scores of the most common weight, one rare shingle that occurs once."""
-    return _scores(np.arange(VARIATES), np.full(VARIATES, np.log(top), np.float32), samples)
+def _plain_scores(samples: int, weight: float) -> np.ndarray:
+    """Scores of a common weight, such as that of a rare shingle that occurs once."""
+    return _scores(np.arange(VARIATES), np.full(VARIATES, np.log(weight), np.float32), samples)
+
 
+def sample_bands(values: np.ndarray, counts: np.ndarray, model, bands: int = BANDS, rows: int = ROWS, often: tuple = ()) -> np.ndarray:
+    """Bucket keys of one document: a hash of each band of consistent weighted samples (shingle and weight step).
 
-def sample_bands(values: np.ndarray, counts: np.ndarray, model, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Bucket keys of one document: a hash of each band of consistent weighted samples (shingle and weight step)."""
+    Scores of the weights in ``often`` are kept for further documents.
+    """
     samples = bands * rows
     weights = _weights(values, counts, model)
-    plain = weights == model[2]
+    often = often or (model[2],)
     best = np.full(samples, np.inf, np.float32)
     pick = np.zeros(samples, np.int64)
     for begin in range(0, len(values), 1 << 14):
         part = slice(begin, begin + (1 << 14))
         at = (values[part] & np.uint64(VARIATES - 1)).astype(np.int64)
-        scores = _plain_scores(samples, model[2])[at]
-        if not plain[part].all():
-            odd = np.flatnonzero(~plain[part])
+        scores, odd = np.empty((len(at), samples), np.float32), np.ones(len(at), bool)
+        for weight in often:
+            same = weights[part] == weight
+            scores[same] = _plain_scores(samples, weight)[at[same]]
+            odd &= ~same
+        if odd.any():
             scores[odd] = _scores(at[odd], np.log(weights[part][odd]).astype(np.float32), samples)
         low = scores.argmin(0)
         score = scores[low, np.arange(samples)]
@@ -165,14 +243,23 @@ def sample_bands(values: np.ndarray, counts: np.ndarray, model, bands: int = BAN
 
 def weighted_jaccard(one, two, model) -> float:
     """Sum of the smaller over sum of the larger weights; ``one`` and ``two`` are (distinct shingles, counts)."""
-    wa, wb = _weights(*one, model), _weights(*two, model)
-    _, ia, ib = np.intersect1d(one[0], two[0], assume_unique=True, return_indices=True)
+    return _jaccard(one[0], _weights(*one, model), two[0], _weights(*two, model))
+
+
+def _jaccard(one: np.ndarray, wa: np.ndarray, two: np.ndarray, wb: np.ndarray) -> float:
+    _, ia, ib = np.intersect1d(one, two, assume_unique=True, return_indices=True)
     both = np.minimum(wa[ia], wb[ib]).sum()
     either = wa.sum() + wb.sum() - both
     return float(both / either) if either > 0 else 0.0
 
 
-def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def _release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are written and not referred to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, spread: float | None = None) -> DataFrame:
     """One row for each row of ``df``: id, text_key (hash of the text), class_id, class_key, class_rows.
 
     A class is a component of texts linked by a weighted Jaccard similarity of ``threshold`` or more; class_id is its
@@ -180,47 +267,73 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
     without a word (these have no other link). A row with a null text is a class of its own: its class_key is null and
     its class_id its own id. Repeated rows give repeated results. An empty table gives no rows. Other columns of
     ``df`` are not read.
+
+    With a ``spread``, document frequencies are over distinct texts and the largest idf is at most ``spread`` times
+    the smallest; without, they are over rows (see ``_idf``).
     """
     spark = df.sparkSession
     ship_package(spark)
     source = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    rows, keys, idf = frequent_shingles(source)
-    shared = spark.sparkContext.broadcast((keys, idf, float(np.log1p(1 / FLOOR))))
-
-    @F.arrow_udf("array<long>")
-    def bands(texts: pa.Array) -> pa.Array:
-        out: list = [[] for _ in range(len(texts))]
-        for i, values, counts in _per_row(texts):
-            if len(values):
-                out[i] = sample_bands(values, counts, shared.value)
-        return pa.array(out, pa.list_(pa.int64()))
-
-    text_key = F.md5("text").alias("text_key")
-    signed = write_table(source.select("id", text_key, bands("text").alias("bands")), "signed")
-    texts = signed.where("text_key is not null").groupBy("text_key").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
+    keyed = source.withColumn("text_key", F.md5("text"))
+    listed = write_table(keyed.select("id", "text_key", F.octet_length("text").alias("size")), "listed")
+    found = listed.where("text_key is not null")
+    texts = found.groupBy("text_key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nodes = texts.repartitionByRange(parts, "id", "text_key").sortWithinPartitions("id", "text_key")
     nodes = write_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    buckets = crowded(nodes.select("node", F.explode("bands").alias("key")))
+    total, size = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    distinct = nodes.count()
+    n = max(1, distinct if spread is not None else total)
+
+    # a text is read from the one row that has its smallest id; where several rows have both, from any of them
+    heads = nodes.join(found.groupBy("text_key", "id").agg(F.count(F.lit(1)).alias("same")).alias("r"), (nodes["text_key"] == F.col("r.text_key")) & nodes["id"].eqNullSafe(F.col("r.id")))
+    heads = write_table(heads.select(nodes["text_key"], nodes["id"].alias("head"), "node", "copies", "same"), "heads")
+    small = distinct <= BROADCAST_ROWS
+
+    def whole_texts(where: str) -> DataFrame:
+        wanted = heads.where(where)
+        wanted = F.broadcast(wanted) if small else wanted
+        return keyed.alias("k").join(wanted.alias("w"), (F.col("k.text_key") == F.col("w.text_key")) & F.col("k.id").eqNullSafe(F.col("w.head"))).select("node", "copies", "text")
+
+    single = whole_texts("same = 1")
+    if not heads.where("same > 1").isEmpty():
+        single = single.unionByName(whole_texts("same > 1").groupBy("node").agg(F.first("copies").alias("copies"), F.first("text").alias("text")).select("node", "copies", "text"))
+    limit = min(MOST_BATCH, max(LEAST_BATCH, size // (8 * parts)))
+    packed = write_table(single.mapInArrow(_batched(limit), "batch long, data binary"), "packed")
+    bins = max(parts, size // BIN_BYTES + 1)
+    asked = packed.mapInArrow(_asked(bins, spread is None), "batch long, bin long, shingles binary, n binary")
+    answers = asked.groupBy("bin").applyInArrow(_answered(n, spread), "batch long, shingles binary, df binary")
+    answers = write_table(answers, "answers")
+    del asked
+    _release(spark)
+    signed = packed.groupBy("batch").cogroup(answers.groupBy("batch"))
+    signed = write_table(signed.applyInArrow(_signed(n, spread), "node long, bands array<long>, levels binary"), "signed")
+    del answers, packed
+    _release(spark)
+    buckets = crowded(signed.select("node", F.explode("bands").alias("key")))
 
     wanted = write_table(nodes.select("node", "text_key").join(buckets.select("node").distinct(), "node", "left_semi"), "wanted")
     small = wanted.select("node").limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    keyed = source.withColumn("text_key", F.md5("text"))
     whole = keyed.join(F.broadcast(wanted) if small else wanted, "text_key")
-    whole = write_table(whole.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    whole = whole.groupBy("node").agg(F.first("text").alias("text"))
+    whole = write_table(whole.join(signed.select("node", "levels"), "node"), "texts")
+
+    def weighed(batch: pa.RecordBatch, side: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        levels = batch.column(f"levels_{side}")
+        for i, values, counts in _per_row(batch.column(f"text_{side}")):
+            yield i, values, counts * _idf(np.frombuffer(levels[i].as_buffer(), np.uint32), n, spread)
 
     def holds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one = {i: (v, c) for i, v, c in _per_row(batch.column("text_a"))}
-            keep = []
-            for i, v, c in _per_row(batch.column("text_b")):
-                keep.append(weighted_jaccard(one[i], (v, c), shared.value) >= threshold)
+            one = {i: (v, w) for i, v, w in weighed(batch, "a")}
+            keep = [_jaccard(*one[i], v, w) >= threshold for i, v, w in weighed(batch, "b")]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one = whole.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        two = whole.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(holds, "a long, b long")
+        one = whole.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("levels").alias("levels_a"))
+        two = whole.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("levels").alias("levels_b"))
+        both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b", "levels_a", "levels_b")
+        return both.mapInArrow(holds, "a long, b long")
 
     roots = linked(buckets, verify)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -229,7 +342,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
     named = rooted.groupBy("root").agg(F.min("id").alias("known_id"))
     heads = heads.join(named, "root").select("root", F.coalesce("known_id", "class_id").alias("class_id"), "class_key")
     classes = rooted.select("text_key", "root").join(heads, "root").select("text_key", "root", "class_id", "class_key")
-    found = signed.select("id", "text_key").join(classes, "text_key", "left")
+    found = listed.select("id", "text_key").join(classes, "text_key", "left")
     sizes = found.where("root is not null").groupBy("root").agg(F.count(F.lit(1)).alias("class_rows"))
     return found.join(sizes, "root", "left").select(
         F.col("id").alias(id),

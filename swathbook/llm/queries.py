@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from swathbook.llm.language import fit_languages, identify_languages
 from swathbook.llm.mixing import mix
-from swathbook.llm.near_documents import near_duplicates
+from swathbook.llm.near_documents import SPREAD, near_duplicates
 from swathbook.llm.near_lines import near_lines
 from swathbook.llm.phrases import hit_words, phrase_matches
 from swathbook.llm.quality import fit_quality, score_quality
@@ -46,7 +46,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows")
+    return near_duplicates(table(spark, sf_dir, "documents"), spread=SPREAD).select("doc_id", "class_id", "class_rows")
 
 
 @_query

@@ -181,3 +181,21 @@ def test_quality_separates(spark):
 
 def test_all_operators_are_registered():
     assert {int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")} >= set(range(1, 11)) and "pipeline" in entry.queries()
+
+
+def test_near_documents_do_not_depend_on_the_size_of_the_group(spark, docs):
+    rnd = random.Random(11)
+    own = lambda k: [f"u{rnd.randrange(10**9)}" for _ in range(k)]
+    base, passage = own(200), own(180)
+    texts = []
+    for _ in range(100):  # a third of the rows: copies of one text, at a plain similarity of 0.858 to it
+        copy = list(base)
+        for at in rnd.sample(range(5, 190, 12), 3):
+            copy[at] = own(1)[0]
+        texts.append(" ".join(copy))
+    texts = [" ".join(base), *texts]
+    texts += [" ".join(passage + own(20)) for _ in range(2)]  # plain 0.81, most of it a passage that few rows share
+    texts += [" ".join(own(60)) for _ in range(200)]
+    got = {r["doc_id"]: r["class_id"] for r in near_documents.near_duplicates(docs(rows_of(texts)), spread=near_documents.SPREAD).collect()}
+    assert {got[i] for i in range(101)} == {0} and got[101] != got[102]
+    assert len(set(got.values())) == 203
