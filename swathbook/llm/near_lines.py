@@ -5,6 +5,11 @@ One hash of each shingle fills one of BINS bins; a bin keeps its smallest hash,
 filled one. Two lines agree in a bin with a probability equal to their Jaccard similarity s, so that BANDS bands of
 ROWS bins bring them together with probability 1 - (1 - s ** ROWS) ** BANDS, which is 0.9998 at s = 0.8.
 
+With a ``fine`` width, pairs of lines of at most SHORT characters are also near if their shingles of that width reach
+the threshold: one edit in a short line changes too large a part of its WIDTH-character shingles. Short lines get
+FINE_BANDS bands of FINE_ROWS bins more for that (0.999 at s = 0.8); short shingles are shared by unrelated lines, too,
+so a band has more bins.
+
 Signatures and the exact check run as Arrow functions on batches. A form with SQL functions only needs a hash of each
 shingle in the plan: README.md has the figures that speak against it.
 """
@@ -25,6 +30,9 @@ from swathbook.llm.words import mix64
 WIDTH = 8
 THRESHOLD = 0.8
 BINS, BANDS, ROWS = 64, 16, 4
+#: Width for short lines as the registered query uses it, and the characters up to which a line is short.
+FINE, SHORT = 3, 100
+FINE_BANDS, FINE_ROWS = 40, 8
 #: Characters hashed at once.
 CHUNK = 1 << 20
 
@@ -73,6 +81,19 @@ def bands_of(lines: list[str]) -> np.ndarray:
     return key.view(np.int64)
 
 
+def fine_bands_of(lines: list[str], width: int) -> np.ndarray:
+    """Bands of short lines: each of their minima is over all shingles, by a hash of its own."""
+    hashes, bounds = line_shingles(lines, width)
+    key = np.empty((len(lines), FINE_BANDS), np.uint64)
+    for band in range(FINE_BANDS):
+        own = np.full(len(lines), band + BANDS + 1, np.uint64)
+        for i in range(FINE_ROWS):
+            seed = mix64(np.array([band * FINE_ROWS + i + 1], np.uint64))
+            own = mix64(own * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mix64(hashes ^ seed), bounds[:-1]))
+        key[:, band] = own
+    return key.view(np.int64)
+
+
 def _groups(lines: list[str]) -> Iterator[tuple[int, int]]:
     begin, size = 0, 0
     for i, line in enumerate(lines):
@@ -92,26 +113,41 @@ def _bands(lines: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(0, flat.size + 1, BANDS, dtype=np.int32), pa.array(flat.ravel())).cast(pa.list_(pa.int64()))
 
 
-def _holds(threshold: float):
+def _fine_bands(width: int):
+    def run(lines: pa.Array) -> pa.Array:
+        texts, parts = lines.to_pylist(), [np.zeros((0, FINE_BANDS), np.int64)]
+        for begin, end in _groups(texts):
+            parts.append(fine_bands_of(texts[begin:end], width))
+        flat = np.concatenate(parts)
+        return pa.ListArray.from_arrays(np.arange(0, flat.size + 1, FINE_BANDS, dtype=np.int32), pa.array(flat.ravel())).cast(pa.list_(pa.int64()))
+
+    return run
+
+
+def _near(x: str, y: str, threshold: float, width: int) -> bool:
+    a, b = np.unique(line_shingles([x], width)[0]), np.unique(line_shingles([y], width)[0])
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= threshold * (len(a) + len(b) - both)
+
+
+def _holds(threshold: float, fine: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = batch.column("line_a").to_pylist(), batch.column("line_b").to_pylist()
             keep = np.zeros(len(one), bool)
             for i, (x, y) in enumerate(zip(one, two, strict=True)):
-                a, b = np.unique(line_shingles([x])[0]), np.unique(line_shingles([y])[0])
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep[i] = both >= threshold * (len(a) + len(b) - both)
+                keep[i] = _near(x, y, threshold, WIDTH) or (fine is not None and max(len(x), len(y)) <= SHORT and _near(x, y, threshold, fine))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def near_lines(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def near_lines(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, fine: int | None = None) -> DataFrame:
     """One row for each line of each text: id, line_no (from 0), line, class_line (the line kept for it), kept.
 
     Lines are what newline characters separate. Of the lines of a component, the first by (id, line_no, line) stays;
     an id that is null sorts first. An empty line is kept always and is a class of its own. Repeated rows (same id,
-    line_no and line) are kept or dropped alike. A null text has no line; an empty table gives no rows. Other columns
+    line_no and line) are kept or dropped alike. ``fine`` is the width of the shingles that short lines are compared by too. A null text has no line; an empty table gives no rows. Other columns
     of ``df`` are not read.
     """
     ship_package(df.sparkSession)
@@ -121,12 +157,15 @@ def near_lines(df: DataFrame, id: str = "doc_id", text: str = "text", threshold:
     distinct = filled.groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first"))
     distinct = write_table(distinct.withColumn("node", F.monotonically_increasing_id()), "lines")
     bands = distinct.select("node", F.explode(F.arrow_udf(_bands, "array<long>")("line")).alias("key"))
+    if fine is not None:
+        short = distinct.where(F.char_length("line") <= SHORT)
+        bands = bands.unionByName(short.select("node", F.explode(F.arrow_udf(_fine_bands(fine), "array<long>")("line")).alias("key")))
     buckets = crowded(write_table(bands, "bands"))
     texts = write_table(distinct.select("node", "line").join(buckets.select("node").distinct(), "node", "left_semi"), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         one, two = texts.select(F.col("node").alias("a"), F.col("line").alias("line_a")), texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
-        return pairs.join(one, "a").join(two, "b").select("a", "b", "line_a", "line_b").mapInArrow(_holds(threshold), "a long, b long")
+        return pairs.join(one, "a").join(two, "b").select("a", "b", "line_a", "line_b").mapInArrow(_holds(threshold, fine), "a long, b long")
 
     roots = linked(buckets, verify)
     member = distinct.join(roots, "node")

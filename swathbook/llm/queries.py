@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from swathbook.llm.language import fit_languages, identify_languages
 from swathbook.llm.mixing import mix
 from swathbook.llm.near_documents import SPREAD, near_duplicates
-from swathbook.llm.near_lines import near_lines
+from swathbook.llm.near_lines import FINE, near_lines
 from swathbook.llm.phrases import hit_words, phrase_matches
 from swathbook.llm.quality import fit_quality, score_quality
 from swathbook.llm.sharding import assign_shards
@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's number of lines, of those that go, and the hash of the text that stays."""
-    found = near_lines(table(spark, sf_dir, "documents"))
+    found = near_lines(table(spark, sf_dir, "documents"), fine=FINE)
     stay = F.collect_list(F.when(F.col("kept"), F.struct("line_no", F.col("line"))))
     lines = found.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count(F.when(~F.col("kept"), 1)).alias("n_removed"), F.array_sort(stay).alias("stay")

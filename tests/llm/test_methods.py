@@ -199,3 +199,14 @@ def test_near_documents_do_not_depend_on_the_size_of_the_group(spark, docs):
     got = {r["doc_id"]: r["class_id"] for r in near_documents.near_duplicates(docs(rows_of(texts)), spread=near_documents.SPREAD).collect()}
     assert {got[i] for i in range(101)} == {0} and got[101] != got[102]
     assert len(set(got.values())) == 203
+
+
+def test_near_lines_find_one_edit_in_short_lines(spark, docs):
+    rnd = random.Random(4)
+    pairs = []
+    for size in range(30, 81, 2):
+        base = "".join(chr(0x4E00 + c) for c in rnd.sample(range(8000), size))
+        at = size // 2
+        pairs.append((base, rnd.choice([base[:at] + "#" + base[at + 1 :], base[:at] + base[at + 1 :], base[:at] + "#" + base[at:]])))
+    got = {r["line"]: r["class_line"] for r in near_lines.near_lines(docs(rows_of([x for p in pairs for x in p])), fine=near_lines.FINE).collect()}
+    assert [got[y] for _, y in pairs] == [x for x, _ in pairs] and len(set(got.values())) == len(pairs)
