@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from swathbook.llm.html_text import extract_text, fit_extractor
 from swathbook.llm.language import fit_languages, identify_languages
 from swathbook.llm.mixing import mix
 from swathbook.llm.near_documents import SPREAD, near_duplicates
@@ -14,9 +15,11 @@ from swathbook.llm.near_lines import FINE, near_lines
 from swathbook.llm.phrases import hit_words, phrase_matches
 from swathbook.llm.quality import fit_quality, score_quality
 from swathbook.llm.sharding import assign_shards
+from swathbook.llm.spelling import count_words, spelling_variants
 from swathbook.llm.token_counts import token_counts
 from swathbook.llm.topk import quantise, top_k
 from swathbook.llm.url_filter import judge_urls
+from swathbook.llm.whitening import fit_whitening, whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -200,3 +203,58 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = score_quality(documents, fit_quality(documents, table(spark, sf_dir, "labels"), targets), targets)
     score, toxic = F.col("p_quality").alias("score"), F.col("p_toxic").alias("toxic_score")
     return found.select("doc_id", score, toxic, ((F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("keep"))
+
+
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of the documents."""
+    found = spelling_variants(count_words(table(spark, sf_dir, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def _crc_table() -> list[int]:
+    """Remainders of the 256 byte values by the reflected polynomial of crc32."""
+    out = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        out.append(value)
+    return out
+
+
+#: Words in one-byte letters, since DuckDB counts the edits of bytes: A-Z cannot occur in a word.
+_WIDE = "".join(map(chr, range(0xC0, 0x100)))
+_NARROW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!#$%&()*+,-./:;<=>?@[]^_{|}~"[:64]
+ORACLE["op11_spelling_variants"] = rf"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+k AS (SELECT doc_id, run, count(*) AS c FROM r WHERE length(run) >= 5 GROUP BY ALL),
+t AS (SELECT {_crc_table()}::BIGINT[] AS crc),
+bytes AS (SELECT doc_id, run, c, list_transform(string_split(regexp_replace(hex(encode(doc_id || ':' || run)), '(..)', '\1 ', 'g'), ' ')[:-2],
+    lambda x: (16 * (strpos('0123456789ABCDEF', substr(x, 1, 1)) - 1) + strpos('0123456789ABCDEF', substr(x, 2, 1)) - 1)::BIGINT) AS b FROM k),
+h AS (SELECT doc_id, run, c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, crc[1 + (xor(a, x) & 255)]))) AS h FROM bytes, t),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, c FROM h),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n, translate(word, '{_WIDE}', '{_NARROW}') AS narrow FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM words a JOIN words b
+  ON length(b.word) BETWEEN length(a.word) - 1 AND length(a.word) + 1 AND a.word <> b.word AND levenshtein(a.narrow, b.narrow) = 1),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+j AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS at FROM j UNION ALL SELECT chain.word, j.form FROM chain JOIN j ON chain.at = j.word WHERE j.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.at AS root FROM chain JOIN j ON chain.at = j.word WHERE j.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM j JOIN ends USING (word)"""
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whiten(vectors, fit_whitening(vectors, "embedding"))
+
+
+@_query
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    found = extract_text(pages.select("page_id", "url", "html"), fit_extractor(pages))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
