@@ -180,6 +180,20 @@ def chain_likelihood(unary: np.ndarray, kinds: np.ndarray, real: np.ndarray, lab
     return picked - total.sum(), label_gap, step_gap
 
 
+def _padded(sequences: list, number: dict[str, int]) -> tuple[np.ndarray, ...]:
+    """Sequences of (features, label, step kind) as arrays, and the places and numbers of all their features."""
+    shape = (len(sequences), max(map(len, sequences)))
+    real, labels, kinds = np.zeros(shape, bool), np.zeros(shape, int), np.zeros(shape, int)
+    place, feature = [], []
+    for i, s in enumerate(sequences):
+        for t, (names, label, kind) in enumerate(s):
+            real[i, t], labels[i, t], kinds[i, t] = True, label, kind
+            ids = [number[f] for f in names if f in number]
+            place += [i * shape[1] + t] * len(ids)
+            feature += ids
+    return real, labels, kinds, np.array(place, int), np.array(feature, int)
+
+
 def fit_pages(pages: list[str]) -> Extractor | None:
     """The model of labelled pages: blocks below an element with the attribute ``data-main`` are main text (``data-other`` below it: not).
 
@@ -195,23 +209,21 @@ def fit_pages(pages: list[str]) -> Extractor | None:
     seen = Counter(f for s in sequences for fs, _, _ in s for f in fs)
     names = sorted(f for f, n in seen.items() if n >= SEEN)
     number = {f: i for i, f in enumerate(names)}
-    shape = (len(sequences), max(map(len, sequences)))
-    real, labels, kinds = np.zeros(shape, bool), np.zeros(shape, int), np.zeros(shape, int)
-    place, feature = [], []
-    for i, s in enumerate(sequences):
-        for t, (fs, label, kind) in enumerate(s):
-            real[i, t], labels[i, t], kinds[i, t] = True, label, kind
-            ids = [number[f] for f in fs if f in number]
-            place += [i * shape[1] + t] * len(ids)
-            feature += ids
-    place, feature = np.array(place, int), np.array(feature, int)
+    # sequences of similar length are padded together
+    groups: dict[int, list] = {}
+    for s in sequences:
+        groups.setdefault(len(s).bit_length(), []).append(s)
+    packed = [_padded(group, number) for group in groups.values()]
 
     def loss(x: np.ndarray):
         weights, steps = x[: len(names)], x[len(names) :].reshape(3, 2, 2)
-        unary = np.bincount(place, weights[feature], minlength=shape[0] * shape[1]).reshape(shape)
-        likely, label_gap, step_gap = chain_likelihood(unary, kinds, real, labels, steps)
-        slope = np.concatenate([np.bincount(feature, label_gap.ravel()[place], minlength=len(names)), step_gap.ravel()])
-        return -likely + PENALTY * (x @ x) / 2, slope + PENALTY * x
+        value, slope = PENALTY * (x @ x) / 2, PENALTY * x
+        for real, labels, kinds, place, feature in packed:
+            unary = np.bincount(place, weights[feature], minlength=real.size).reshape(real.shape)
+            likely, label_gap, step_gap = chain_likelihood(unary, kinds, real, labels, steps)
+            value = value - likely
+            slope = slope + np.concatenate([np.bincount(feature, label_gap.ravel()[place], minlength=len(names)), step_gap.ravel()])
+        return value, slope
 
     x = minimise(loss, np.zeros(len(names) + 12), STEPS)
     weights = dict(zip(names, x[: len(names)].tolist(), strict=True))
