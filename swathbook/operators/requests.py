@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from swathbook import constants as K
 from swathbook.functions import geometry as G
 from swathbook.functions import names as N
+from swathbook.functions.polygons import valid
 from swathbook.operators.skew import skew_join
 
 _ALIASES = {"startdate": "start_datetime", "stopdate": "end_datetime", "geofeature": "geometry"}
@@ -86,7 +87,7 @@ def duplicate_keys(requests: DataFrame, key: str = "request_key") -> DataFrame:
 
 def invalid_areas(normalized: DataFrame) -> DataFrame:
     """Requests whose polygon is open, degenerate or crosses itself."""
-    return normalized.filter(~F.coalesce(G.is_valid("area"), F.lit(True))).select(
+    return normalized.filter(~F.coalesce(valid(F.col("area")), F.lit(True))).select(
         "request_key", "id_original_query", "geometry"
     )
 

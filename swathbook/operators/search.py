@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from swathbook import constants as K
 from swathbook.functions import geometry as G
 from swathbook.functions import names as N
+from swathbook.functions.polygons import with_simple_geometry
 from swathbook.operators.once import computed_once
 from swathbook.operators.requests import normalize_requests
 from swathbook.operators.skew import BROADCAST_ROWS, PAIRS_PER_SLOT, ROWS_PER_SLOT, grid_join
@@ -170,6 +171,15 @@ def with_geometry(catalog: DataFrame) -> DataFrame:
     )
 
 
+def with_simple_footprints(found: DataFrame) -> DataFrame:
+    """Add ``geom`` (footprint without crossing rings, overlapping parts united), its ``box`` and ``repaired``.
+
+    ``repaired`` tells that the geometry is not as it was given.
+    """
+    df = with_simple_geometry(found.drop("geom"), "geom", G.geometry_from_wkt(G.footprint_wkt("Footprint")))
+    return df.withColumn("box", G.bbox("geom")).withColumnRenamed("geom_mended", "repaired")
+
+
 def _attribute_values(catalog: DataFrame, name: str) -> Column:
     if name in catalog.columns:  # promoted column of the stored catalog
         return F.array(F.col(name))

@@ -169,6 +169,24 @@ def land(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def overlapping_land(spark: SparkSession, sf: str) -> DataFrame:
+    """The land rectangles, each twice, and again moved by half their size, so that two layers overlap."""
+    n = F.col("n_nationkey")
+    x, y = (n % 5) * 72 - 180, F.floor(n / 5) * 36 - 90
+    texts = [G.box_wkt(x, y, x + 36, y + 18), G.box_wkt(x, y, x + 36, y + 18), G.box_wkt(x + 18, y + 9, x + 54, y + 27)]
+    return table(spark, sf, "nation").select(n.cast("string").alias("land_id"), F.explode(F.array(*texts)).alias("wkt"))
+
+
+def crossing_land(spark: SparkSession, sf: str) -> DataFrame:
+    """The land rectangles with two corners exchanged: rings that cross themselves in the middle."""
+    n = F.col("n_nationkey")
+    x, y = (n % 5) * 72 - 180, F.floor(n / 5) * 36 - 90
+    corners = [(x, y), (x + 36, y + 18), (x + 36, y), (x, y + 18), (x, y)]
+    points = [F.concat_ws(" ", a.cast("string"), b.cast("string")) for a, b in corners]
+    text = F.concat(F.lit("POLYGON(("), F.concat_ws(",", *points), F.lit("))"))
+    return table(spark, sf, "nation").select(n.cast("string").alias("land_id"), text.alias("wkt"))
+
+
 def files(spark: SparkSession, sf: str) -> DataFrame:
     """Files held locally, spread over two archives, a spool and an output folder."""
     p = products(spark, sf)

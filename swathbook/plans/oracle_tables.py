@@ -182,12 +182,59 @@ SELECT event_id, g, t,
   || CASE g % 4 WHEN 0 THEN 'O' WHEN 1 THEN 'F' WHEN 2 THEN 'D' ELSE 'R' END || '_NR_002.SEN3' AS s3_name
 FROM (SELECT *, date_trunc('second', ts) AS t, event_id // 4 AS g FROM events)"""
 
+#: Starts a common table expression whose long expressions must not be copied into its readers.
+ONCE = "/* once */ "
+
+
+def _skew_ring(dx: float) -> list[tuple[str, str]]:
+    return [(f"(x0 + {dx})", "(y0 + 0.5)"), (f"(x1 + {dx})", "y0"), (f"(x1 + {dx} + 0.5)", "y1"), (f"(x0 + {dx} + 0.25)", "(y1 + 0.5)")]
+
+
+def points(ring: list[tuple[str, str]]) -> str:
+    return "[" + ", ".join(f"{{'x': CAST({x} AS DOUBLE), 'y': CAST({y} AS DOUBLE)}}" for x, y in ring) + "]"
+
+
+def left_of(ring: list[tuple[str, str]]) -> list[str]:
+    """Half-planes of a convex counter-clockwise ring, as expressions of the point q that are 0 or more inside."""
+    pairs = zip(ring, ring[1:] + ring[:1], strict=True)
+    return [f"({bx} - {ax}) * (q.y - {ay}) - ({by} - {ay}) * (q.x - {ax})" for (ax, ay), (bx, by) in pairs]
+
+
+def clipped(source: str, half_planes: list[str], name: str) -> tuple[dict[str, str], str]:
+    """CTEs that cut the convex ring p (open list of points) of each row of ``source`` by half-planes, and the last one's name."""
+    out, last = {}, source
+    for k, plane in enumerate(half_planes):
+        nxt = "p[i % len(p) + 1]"
+        t = "(d[i] / (d[i] - d[i % len(p) + 1]))"
+        cut = f"{{'x': p[i].x + {t} * ({nxt}.x - p[i].x), 'y': p[i].y + {t} * ({nxt}.y - p[i].y)}}"
+        out[f"{name}{k}d"] = f"{ONCE}SELECT *, list_transform(p, lambda q: {plane}) AS d FROM {last}"
+        out[f"{name}{k}"] = f"""{ONCE}SELECT * EXCLUDE (d) REPLACE (flatten(list_transform(range(1, len(p) + 1), lambda i:
+          CASE WHEN d[i] >= 0 AND d[i % len(p) + 1] >= 0 THEN [{nxt}] WHEN d[i] >= 0 THEN [{cut}]
+            WHEN d[i % len(p) + 1] >= 0 THEN [{cut}, {nxt}] ELSE [] END)) AS p) FROM {name}{k}d"""
+        last = f"{name}{k}"
+    return out, last
+
+
+AREA = "abs(coalesce(list_sum(list_transform(range(1, len(p) + 1), lambda i: p[i].x * p[i % len(p) + 1].y - p[i % len(p) + 1].x * p[i].y)), 0)) / 2"
+
+CTES["skew"] = f"""
+SELECT Id, x0, y0, x1, y1, ends_with(Id, '-v2') AS two, 1 AS sign, {points(_skew_ring(0.0))} AS p FROM cat"""
+_BOTH, _last = clipped("skew_two", left_of(_skew_ring(1.0)), "both")
+#: Signed convex shapes that make up each slanted footprint; two-part ones are both parts less what they share.
+SHAPES = {
+    "skew_two": "SELECT * FROM skew WHERE two",
+    **_BOTH,
+    "shape": f"""SELECT * FROM skew UNION ALL SELECT * REPLACE ({points(_skew_ring(1.0))} AS p) FROM skew WHERE two
+      UNION ALL SELECT * REPLACE (-1 AS sign) FROM {_last}""",
+}
+LAND_SIDES = ["q.x - lx0", "lx1 - q.x", "q.y - ly0", "ly1 - q.y"]
+
 _ORDER = [
-    "prod", "cat", "req", "hits", "latest", "land", "sea", "file", "listing", "src", "matched", "nm", "spots", "located",
+    "prod", "cat", "req", "hits", "latest", "land", "skew", "sea", "file", "listing", "src", "matched", "nm", "spots", "located",
     "xfer", "obj", "other",
 ]
 _NEEDS = {
-    "cat": ["prod"], "hits": ["req", "cat"], "latest": ["hits"], "sea": ["cat", "land"], "file": ["prod"],
+    "cat": ["prod"], "hits": ["req", "cat"], "latest": ["hits"], "sea": ["cat", "land"], "skew": ["cat"], "file": ["prod"],
     "listing": ["prod"], "src": ["listing"], "matched": ["src", "cat"], "nm": ["listing"], "spots": ["nm"],
     "located": ["listing", "spots", "file"], "obj": ["prod"],
 }
@@ -207,5 +254,6 @@ def sql(needs: list[str], body: str, extra: dict[str, str] | None = None) -> str
     """``body`` with the derived tables it needs in front, then its own extra tables."""
     wanted = _closure(needs)
     parts = [f"{n} AS ({CTES[n]}\n)" for n in _ORDER if n in wanted]
-    parts += [f"{n} AS ({text}\n)" for n, text in (extra or {}).items()]
+    kept = lambda text: "MATERIALIZED " if text.startswith(ONCE) else ""
+    parts += [f"{n} AS {kept(text)}({text}\n)" for n, text in (extra or {}).items()]
     return "WITH " + ",\n".join(parts) + "\n" + body if parts else body

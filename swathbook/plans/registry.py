@@ -22,7 +22,8 @@ from swathbook.operators import sea as SEA
 from swathbook.operators import transfers as T
 from swathbook.plans import fixtures as X
 from swathbook.plans import lifecycle as L
-from swathbook.plans.oracle_tables import sql
+from swathbook.functions.polygons import with_simple_geometry
+from swathbook.plans.oracle_tables import AREA, LAND_SIDES, SHAPES, clipped, sql
 from swathbook.sources import readers as RD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -909,34 +910,157 @@ def sea_volume(spark: SparkSession, sf: str) -> DataFrame:
     return I.volume_by_sea_threshold(_sea(spark, sf)).withColumn("volume", _r6("volume"))
 
 
-@register("sea_percent_general")
+_ON_LAND, _LAST = clipped("shape_land", LAND_SIDES, "cut")
+_GENERAL = {
+    **SHAPES,
+    "shape_land": """SELECT s.*, lx0, ly0, lx1, ly1 FROM shape s JOIN land
+      ON x0 < lx1 AND lx0 < x1 + 2 AND y0 < ly1 AND ly0 < y1 + 1""",
+    **_ON_LAND,
+    "own": f"SELECT Id, sum(sign * {AREA}) AS area FROM shape GROUP BY Id",
+    "wet": f"SELECT Id, sum(sign * {AREA}) AS land_area FROM {_LAST} GROUP BY Id",
+}
+
+
+@register(
+    "sea_percent_general",
+    sql(["skew", "land"], "SELECT Id, round((area - coalesce(land_area, 0)) / area * 100, 6) AS sea_percent FROM own LEFT JOIN wet USING (Id)", _GENERAL),
+)
 def sea_percent_general(spark: SparkSession, sf: str) -> DataFrame:
-    """Slanted and two-part footprints (checked against the closed form and sampling in the tests)."""
+    """Slanted and two-part footprints."""
     df = SEA.with_sea_percent(X.skewed_catalog(spark, sf), X.land(spark, sf))
     return df.select("Id", _r6("sea_percent").alias("sea_percent"))
 
 
-@register("search_polygon_general")
+_COMMON = "greatest(0, least(c.x1, {1}) - greatest(c.x0, {0})) * greatest(0, least(c.y1, {3}) - greatest(c.y0, {2}))"
+_ONE = _COMMON.format("lx0", "lx1", "ly0", "ly1")
+_TWO = _COMMON.format("lx0 + 18", "lx1 + 18", "ly0 + 9", "ly1 + 9")
+_SHARED = _COMMON.format("greatest(a.lx0, b.lx0 + 18)", "least(a.lx1, b.lx1 + 18)", "greatest(a.ly0, b.ly0 + 9)", "least(a.ly1, b.ly1 + 9)")
+
+
+@register(
+    "sea_overlapping_land",
+    sql(
+        ["cat", "land"],
+        """SELECT c.Id, round(((x1 - x0) * (y1 - y0) - one - two + shared) / ((x1 - x0) * (y1 - y0)) * 100, 6) AS sea_percent
+           FROM cat c JOIN l USING (Id) JOIN s USING (Id)""",
+        {
+            "l": f"SELECT Id, sum({_ONE}) AS one, sum({_TWO}) AS two FROM cat c, land GROUP BY Id",
+            "s": f"SELECT Id, CAST(sum({_SHARED}) AS DOUBLE) AS shared FROM cat c, (SELECT * FROM land) a, (SELECT * FROM land) b "
+            "WHERE b.lx0 + 18 < a.lx1 AND a.lx0 < b.lx1 + 18 AND b.ly0 + 9 < a.ly1 AND a.ly0 < b.ly1 + 9 GROUP BY Id",
+        },
+    ),
+)
+def sea_overlapping_land(spark: SparkSession, sf: str) -> DataFrame:
+    """Land polygons that repeat and overlap count once."""
+    df = SEA.with_sea_percent(X.catalog(spark, sf), X.overlapping_land(spark, sf))
+    return df.select("Id", _r6("sea_percent").alias("sea_percent"))
+
+
+# at the share u of the way along its x range, crossing land covers y from 18 min(u, 1 - u) to 18 max(u, 1 - u)
+_SPAN = "greatest(0, least(y1, ly0 + 18 * greatest((v - lx0) / 36, (lx1 - v) / 36)) - greatest(y0, ly0 + 18 * least((v - lx0) / 36, (lx1 - v) / 36)))"
+
+
+@register(
+    "sea_crossing_land",
+    sql(
+        ["cat", "land"],
+        """SELECT Id, round(((x1 - x0) * (y1 - y0) - coalesce(land_area, 0)) / ((x1 - x0) * (y1 - y0)) * 100, 6) AS sea_percent
+           FROM cat LEFT JOIN w USING (Id)""",
+        {
+            "met": """SELECT Id, CAST(y0 AS DOUBLE) AS y0, CAST(y1 AS DOUBLE) AS y1, lx0, lx1, ly0,
+              CAST(greatest(x0, lx0) AS DOUBLE) AS a, CAST(least(x1, lx1) AS DOUBLE) AS b
+              FROM cat JOIN land ON x0 < lx1 AND lx0 < x1 AND y0 < ly1 AND ly0 < y1""",
+            "cuts": """SELECT *, list_sort(list_distinct(list_filter([a, b, lx0 + 18, lx0 + 2 * (y0 - ly0), lx1 - 2 * (y0 - ly0),
+              lx0 + 2 * (y1 - ly0), lx1 - 2 * (y1 - ly0)]::DOUBLE[], lambda v: v >= a AND v <= b))) AS xs FROM met""",
+            "spans": f"SELECT Id, xs, list_transform(xs, lambda v: {_SPAN}) AS f FROM cuts",
+            "w": """SELECT Id, sum(list_sum(list_transform(range(1, len(xs)), lambda i: (xs[i + 1] - xs[i]) * (f[i] + f[i + 1]) / 2))) AS land_area
+              FROM spans GROUP BY Id""",
+        },
+    ),
+)
+def sea_crossing_land(spark: SparkSession, sf: str) -> DataFrame:
+    """Land rings that cross themselves cover their even-odd interior, half of their box."""
+    df = SEA.with_sea_percent(X.catalog(spark, sf), X.crossing_land(spark, sf))
+    return df.select("Id", _r6("sea_percent").alias("sea_percent"))
+
+
+_CORNER = "({bx} - {ax}) * ({y} - {ay}) - ({by} - {ay}) * ({x} - {ax})"
+
+
+def _apart(dx: float) -> str:
+    """A slanted footprint part and the box (ax, ay, bx, by_) share a point: no side of either has the other beyond it."""
+    ring = [(f"(x0 + {dx})", "(y0 + 0.5)"), (f"(x1 + {dx})", "y0"), (f"(x1 + {dx} + 0.5)", "y1"), (f"(x0 + {dx} + 0.25)", "(y1 + 0.5)")]
+    sides = [
+        "greatest(" + ", ".join(_CORNER.format(ax=p[0], ay=p[1], bx=q[0], by=q[1], x=x, y=y) for x in ("r.ax", "r.bx") for y in ("r.ay", "r.by_")) + ") >= 0"
+        for p, q in zip(ring, ring[1:] + ring[:1], strict=True)
+    ]
+    box = f"x0 + {dx} <= r.bx AND r.ax <= x1 + {dx} + 0.5 AND y0 <= r.by_ AND r.ay <= y1 + 0.5"
+    return "(" + " AND ".join([box, *sides]) + ")"
+
+
+@register(
+    "search_polygon_general",
+    sql(
+        ["req", "cat"],
+        f"""SELECT r.request_key, c.Id FROM req r JOIN cat c ON (r.s IS NULL OR c.content_start > r.s) AND (r.e IS NULL OR c.content_start < r.e)
+          AND (r.collection IS NULL OR c.collection = r.collection) AND (r.name_part IS NULL OR contains(c.Name, r.name_part))
+          AND (r.sensormode IS NULL OR c.mode = r.sensormode) AND (r.producttype IS NULL OR c.ptype = r.producttype)
+          AND (r.cloud_max IS NULL OR c.cloud <= r.cloud_max)
+          AND ({_apart(0.0)} OR (ends_with(c.Id, '-v2') AND {_apart(1.0)}))
+          WHERE r.area_kind IS NOT NULL""",
+    ),
+)
 def search_polygon_general(spark: SparkSession, sf: str) -> DataFrame:
-    """Area requests over slanted and two-part footprints (checked by brute force in the tests)."""
+    """Area requests over slanted and two-part footprints."""
     req = R.normalize_requests(X.requests(spark, sf)).filter("area_kind <> 'none'")
     return S.search(req, X.skewed_catalog(spark, sf)).select("request_key", "Id")
 
 
-@register("geometry_repair")
+_RECT = "x0 || ' ' || y1 || ', ' || x0 || ' ' || y0 || ', ' || x1 || ' ' || y0 || ', ' || x1 || ' ' || y1 || ', ' || x0 || ' ' || y1"
+_MID = "replace(CAST((x0 + x1) / 2.0 AS VARCHAR), '.0', '') || ' ' || (y0 + 1)"
+_BOW = (
+    f"'MULTIPOLYGON (((' || x0 || ' ' || y0 || ', ' || {_MID} || ', ' || x0 || ' ' || y1 || ', ' || x0 || ' ' || y0 || ')), ((' || {_MID} "
+    f"|| ', ' || x1 || ' ' || y0 || ', ' || x1 || ' ' || y1 || ', ' || {_MID} || ')))'"
+)
+
+
+@register(
+    "geometry_repair",
+    sql(
+        ["cat"],
+        f"""SELECT Id, true AS repaired, CAST((x1 - x0) * (y1 - y0) AS DOUBLE) / CASE WHEN split_part(Id, '-', 2) = '1' THEN 2 ELSE 1 END AS area,
+          CASE WHEN split_part(Id, '-', 2) = '1' THEN {_BOW} ELSE 'POLYGON ((' || {_RECT} || '))' END AS wkt FROM cat""",
+    ),
+)
 def geometry_repair(spark: SparkSession, sf: str) -> DataFrame:
-    """Footprints whose ring was left open and runs clockwise, mended."""
-    geom = G.geometry_from_wkt(G.footprint_wkt("Footprint"))
-    c = X.catalog(spark, sf).withColumn("geom", geom)
-    broken = F.struct(
-        F.col("geom")["kind"].alias("kind"),
-        F.transform(
-            F.col("geom")["rings"],
-            lambda r: F.struct(r["hole"].alias("hole"), F.reverse(F.slice(r["pts"], F.lit(1), F.size(r["pts"]) - 1)).alias("pts")),
-        ).alias("rings"),
+    """Footprints mended: rings left open that run clockwise, and (products numbered 1) rings that cross themselves."""
+    c = X.catalog(spark, sf).withColumn("box", G.bbox(G.geometry_from_wkt(G.footprint_wkt("Footprint"))))
+    ring = lambda *corners: F.array(*[F.struct(F.col("box")[x].alias("x"), F.col("box")[y].alias("y")) for x, y in corners])
+    still_open = ring(("x0", "y1"), ("x1", "y1"), ("x1", "y0"), ("x0", "y0"))
+    crossing = ring(("x0", "y0"), ("x1", "y1"), ("x1", "y0"), ("x0", "y1"), ("x0", "y0"))
+    points = F.when(F.split_part("Id", F.lit("-"), F.lit(2)) == "1", crossing).otherwise(still_open)
+    broken = F.struct(F.lit("POLYGON").alias("kind"), F.array(F.struct(F.lit(False).alias("hole"), points.alias("pts"))).alias("rings"))
+    c = with_simple_geometry(c.select("Id", "box"), "geom", broken)
+    return c.select("Id", F.col("geom_mended").alias("repaired"), _r6(G.area("geom")).alias("area"), G.geometry_to_wkt("geom").alias("wkt"))
+
+
+@register(
+    "footprint_union",
+    sql(
+        ["skew"],
+        """SELECT Id, 'POLYGON' AS kind, two AS repaired, CAST(1 AS INTEGER) AS n_rings, CAST(CASE WHEN two THEN 9 ELSE 5 END AS INTEGER) AS n_points,
+           round(area, 6) AS area, CAST(x1 + 0.5 + CASE WHEN two THEN 1 ELSE 0 END AS DOUBLE) AS east FROM skew JOIN own USING (Id)""",
+        {**SHAPES, "own": _GENERAL["own"]},
+    ),
+)
+def footprint_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Two-part footprints become the outline of their union, as the product table writes them."""
+    df = S.with_simple_footprints(X.skewed_catalog(spark, sf))
+    rings = F.col("geom")["rings"]
+    return df.select(
+        "Id", F.col("geom")["kind"].alias("kind"), "repaired", F.size(rings).alias("n_rings"),
+        F.size(F.flatten(F.transform(rings, lambda r: r["pts"]))).alias("n_points"), _r6(G.area("geom")).alias("area"), F.col("box")["x1"].alias("east"),
     )
-    c = c.withColumn("_r", G.repair(broken))
-    return c.select("Id", "_r.repaired", G.area(F.col("_r")["geom"]).alias("area"), G.geometry_to_wkt(F.col("_r")["geom"]).alias("wkt"))
 
 
 # ===================================================================== transfers

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from swathbook.functions import geometry as G
-from swathbook.functions.polygons import covered_area
+from slabs import covered_area
 from swathbook.operators import sea as SEA
 
 
