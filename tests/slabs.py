@@ -60,6 +60,8 @@ def covered_area(rings, mask_rings=None):
     xs = np.unique([x for e in both for x in (e[0], e[2])] + crossing_xs(both))
     total = 0.0
     for a, b in zip(xs, xs[1:], strict=False):
+        if b - a < 1e-12:
+            continue
         cover = covered(edges, (a + b) / 2)
         if mask is None:
             length = sum(hi - lo for lo, hi in cover)
