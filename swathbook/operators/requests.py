@@ -51,6 +51,8 @@ def normalize_requests(requests: DataFrame, key: str = "request_key") -> DataFra
     if "id_query" not in df.columns:
         df = df.withColumn("id_query", F.lit(None).cast("string"))
     parsed = G.geometry_from_wkt("geometry")
+    # the whole world filters nothing, also where it is written out
+    parsed = F.when(F.translate("geometry", " ", "") == F.translate(F.lit(K.WORLD_WKT), " ", ""), F.lit(None)).otherwise(parsed)
     return (
         df.withColumn("request_key", F.col(key).cast("string"))
         .withColumn("id_original_query", F.coalesce(F.col("id_query").cast("string"), F.col("request_key")))
@@ -240,10 +242,16 @@ def render_requests(normalized: DataFrame, top: int = K.DEFAULT_TOP, url: str =
 
 # --------------------------------------------------------------------- requests from names
 def requests_from_names(
-    listing: DataFrame, name: str = "safename", private_units: list[str] | None = None, mode: str = "default"
+    listing: DataFrame,
+    name: str = "safename",
+    private_units: list[str] | None = None,
+    mode: str = "default",
+    line: str = "line_no",
 ) -> DataFrame:
     """One request per listed radar product, wide enough to find it again.
 
+    ``request_key`` is the listing's line; a listing without the column ``line`` gives one request per distinct name.
+
     The window runs from one second before the start to one second after the end of
     the name (``mode="reference"``: one second before the end). Names that cannot be
     read give no request.
@@ -251,10 +259,13 @@ def requests_from_names(
     fields = N.s1_fields(name)
     shift = F.expr("INTERVAL 1 SECOND")
     end = fields["enddate"] - shift if mode == "reference" else fields["enddate"] + shift
+    if line not in listing.columns:
+        listing = listing.select(name).distinct()
     return (
         listing.filter(F.col(name).rlike(".SAFE"))
         .filter(N.s1_start(name).isNotNull())
         .select(
+            F.col(line if line in listing.columns else name).cast("string").alias("request_key"),
             F.lit("batch_query").alias("id_query"),
             (fields["startdate"] - shift).alias("start_datetime"),
             end.alias("end_datetime"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from swathbook.functions import paths as P
+from swathbook.operators.requests import normalize_requests, requests_from_names
+from swathbook.operators.search import latest_versions, search
 
 
 def first_per_name(df: DataFrame, name: str, order: list) -> DataFrame:
@@ -28,6 +30,24 @@ def resolve_ids(listing: DataFrame, catalog: DataFrame, name: str = "safename",
     )
 
 
+def search_listing(
+    listing: DataFrame, catalog: DataFrame, private_units: list[str] | None = None, name: str = "safename", line: str = "line_no", mode: str = "default"
+) -> DataFrame:
+    """(``line_no``, ``id``, ``safename``, ``S3Path``) of listed names found by searching: listing, requests, search, ids.
+
+    Each name becomes a request with its window, mode and product type (with the suffix of ``private_units``), and the
+    latest version of what is found counts. Names that are not found, or are no radar product names, are left out;
+    a repeated name has its first line.
+    """
+    if line not in listing.columns:
+        listing = listing.select(name).distinct().withColumn(line, F.lit(None).cast("long"))
+    lines = listing.groupBy(name).agg(F.min(line).alias(line))
+    requests = requests_from_names(lines.select(name), name, private_units, mode)
+    found = latest_versions(search(normalize_requests(requests), catalog))
+    found = found.select(F.col("Name").alias(name), F.col("Id").alias("id"), P.strip_bucket("S3Path").alias("S3Path"))
+    return lines.join(found, name).select(line, "id", name, "S3Path")
+
+
 def path_audit(products: DataFrame, name: str = "Name", path: str = "S3Path") -> DataFrame:
     """Expected and listed path per product with ``verdict`` OK or KO."""
     expected, listed = P.object_path(name), P.strip_bucket(path)

@@ -21,6 +21,10 @@ CELL_DEGREES = 20.0
 
 # levels of the time key: single days and blocks of days
 _DAYS, _BLOCKS = 0, 1
+#: A whole product name; a request for one is joined by equality.
+WHOLE_NAME = r"S[1-6][A-Z]_.*?\.(?:SAFE|SEN3)"
+#: Characters of the pieces by which shorter parts of a name are looked up.
+GRAM = 5
 
 
 @dataclass(frozen=True)
@@ -38,6 +42,9 @@ class RequestProfile:
     first_month: str | None
     last_month: str | None
     collection: str | None
+    named: int  # requests by a whole name, and by a part of a name with an open window
+    in_part: int
+    others: int
 
 
 # --------------------------------------------------------------------- preparing both sides
@@ -82,6 +89,17 @@ def _no_cell() -> Column:
     return F.struct(F.lit(_NO_CELL).alias("cx"), F.lit(_NO_CELL).alias("cy"))
 
 
+def whole_name(text: str | Column) -> Column:
+    """The first whole product name in a text, or null."""
+    return F.nullif(F.regexp_extract(N._col(text), f"({WHOLE_NAME})", 1), F.lit(""))
+
+
+def _by_part() -> Column:
+    """The request gives a part of a name that is long enough to look up, and no window that would cut the days."""
+    no_window = F.col("_from").isNull() & F.col("_to").isNull()
+    return F.coalesce(F.col("_whole").isNull() & (F.length("_name") >= GRAM) & no_window, F.lit(False))
+
+
 def prepare_requests(
     requests: DataFrame,
     mode: str = "default",
@@ -107,6 +125,7 @@ def prepare_requests(
         "slice_no",
         F.col("collection").alias("_collection"),
         F.col("name").alias("_name"),
+        F.when(whole_name("name") == F.col("name"), F.col("name")).alias("_whole"),
         F.col("sensormode").alias("_mode"),
         F.col("producttype").alias("_type"),
         F.col("attr_name").alias("_attr"),
@@ -145,6 +164,9 @@ def profile_requests(prepared: DataFrame) -> RequestProfile:
             (F.count_if(F.col("_collection").isNull()) == 0) & (F.min("_collection") == F.max("_collection")),
             F.min("_collection"),
         ).alias("collection"),
+        F.count_if(F.col("_whole").isNotNull()).alias("named"),
+        F.count_if(_by_part()).alias("in_part"),
+        F.count_if(F.col("_whole").isNull() & ~_by_part()).alias("others"),
     ).first()
     return RequestProfile(
         row["keys"],
@@ -158,6 +180,9 @@ def profile_requests(prepared: DataFrame) -> RequestProfile:
         row["first_month"],
         row["last_month"],
         row["collection"],
+        row["named"],
+        row["in_part"],
+        row["others"],
     )
 
 
@@ -290,7 +315,8 @@ def search(
     its area into grid cells; a product has its own day and the cells of its box. Open
     windows reach to the catalog's first or last start, which one aggregate finds. A
     pair meets under exactly one time key and is reported in exactly one cell, so
-    the result needs no distinct. One aggregate over the request table chooses the
+    the result needs no distinct. Requests for a whole product name are joined by that name alone; those for a part of a
+    name without a window first find the names that hold it. One aggregate over the request table chooses the
     strategy: when the request keys number at most ``broadcast_keys`` they are
     broadcast and the catalog is not shuffled; otherwise both sides shuffle on
     (time, cell), and keys with many rows or many pairs are cut on both sides.
@@ -301,11 +327,48 @@ def search(
     """
     prepared = prepare_requests(requests, mode, cell_degrees)
     profile = profile_requests(prepared)
-    span = None
-    if profile.has_open:
-        span = catalog_span(_prune(catalog, profile))
-        prepared = prepare_requests(requests, mode, cell_degrees, span)
-        profile = profile_requests(prepared)
+    tags = ["id_original_query", "request_key", "slice_no"]
+    classes = []
+    if profile.named or profile.in_part:
+        wanted = prepared.drop("_times", "_cells")
+        whole, part = wanted.filter("_whole IS NOT NULL"), wanted.filter(_by_part())
+        if profile.in_part:
+            part = _names_of_parts(part, catalog, profile.in_part <= broadcast_keys)
+            whole = whole.unionByName(part) if profile.named else part
+        small = strategy == "broadcast" or (strategy == "auto" and not profile.in_part and profile.named <= broadcast_keys)
+        classes.append(_search_by_name(whole, catalog, profile, small, rows_per_slot, pairs_per_slot))
+    if profile.others or not classes:
+        if classes:
+            requests = requests.join(prepared.filter(F.col("_whole").isNull() & ~_by_part()).select(*_request_id(requests)).distinct(), _request_id(requests), "left_semi")
+            prepared = prepare_requests(requests, mode, cell_degrees)
+            profile = profile_requests(prepared)
+        span = None
+        if profile.has_open:
+            span = catalog_span(_prune(catalog, profile))
+            prepared = prepare_requests(requests, mode, cell_degrees, span)
+            profile = profile_requests(prepared)
+        classes.append(_search_by_day(prepared, catalog, profile, span, strategy, cell_degrees, rows_per_slot, broadcast_keys, pairs_per_slot))
+    parts = [c.select(*tags, *[x for x in catalog.columns if x not in tags]) for c in classes]
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return found if top is None else cap_per_request(found, top)
+
+
+def _request_id(requests: DataFrame) -> list[str]:
+    return [c for c in ("request_key", "slice_no") if c in requests.columns]
+
+
+def _search_by_day(
+    prepared: DataFrame,
+    catalog: DataFrame,
+    profile: RequestProfile,
+    span: tuple[int, int] | None,
+    strategy: str,
+    cell_degrees: float,
+    rows_per_slot: int,
+    broadcast_keys: int,
+    pairs_per_slot: int,
+) -> DataFrame:
+    """Pairs that share a time key and a cell."""
     if profile.day_keys <= broadcast_keys:
         # few enough single days: products then need no second key for the blocks
         profile = replace(profile, keys=profile.day_keys, has_blocks=False)
@@ -319,13 +382,55 @@ def search(
     if strategy == "auto":
         strategy = "broadcast" if profile.keys <= broadcast_keys else "shuffle"
     if strategy == "broadcast":
-        pairs = products.join(F.broadcast(req), _KEYS, "inner").filter(condition)
-    else:
-        asked_by = ["request_key", "slice_no"]
-        pairs = grid_join(products, req, _KEYS, rows_per_slot, pairs_per_slot, condition, ["Id"], asked_by)
-    tags = ["id_original_query", "request_key", "slice_no"]
-    found = pairs.select(*tags, *[c for c in catalog.columns if c not in tags])
-    return found if top is None else cap_per_request(found, top)
+        return products.join(F.broadcast(req), _KEYS, "inner").filter(condition)
+    asked_by = ["request_key", "slice_no"]
+    return grid_join(products, req, _KEYS, rows_per_slot, pairs_per_slot, condition, ["Id"], asked_by)
+
+
+def _search_by_name(
+    requests: DataFrame, catalog: DataFrame, profile: RequestProfile, small: bool, rows_per_slot: int, pairs_per_slot: int
+) -> DataFrame:
+    """Pairs of requests for whole names (``_whole``) and products of that name; no day and no cell takes part in the join."""
+    df = _prune(catalog, profile) if not profile.others else catalog
+    df = df.withColumn("_modes", _attribute_values(catalog, "operationalMode")).withColumn("_types", _attribute_values(catalog, "productType"))
+    if profile.has_area:
+        df = with_geometry(df).withColumn("_geom_is_box", G.is_box("geom"))
+    # a name inside a longer one is asked for by the request too
+    inner = F.nullif(whole_name("Name"), F.col("Name"))
+    names = F.array(F.struct(F.col("Name").alias("n"), F.lit(False).alias("i")), F.struct(inner.alias("n"), F.lit(True).alias("i")))
+    df = df.withColumn("_n", F.explode(F.filter(names, lambda x: x["n"].isNotNull())))
+    df = df.select("*", F.col("_n.n").alias("_whole"), F.col("_n.i").alias("_inner")).drop("_n")
+    requests = requests.withColumn("_in_part", _by_part_of())
+    condition = _asked(profile, F.lit(True)) & ~(F.col("_inner") & F.col("_in_part"))
+    if small:
+        return df.join(F.broadcast(requests), "_whole", "inner").filter(condition)
+    return grid_join(df, requests, ["_whole"], rows_per_slot, pairs_per_slot, condition, ["Id"], ["request_key", "slice_no"])
+
+
+def _by_part_of() -> Column:
+    """The request's whole name was found for a part of it."""
+    return F.col("_whole") != F.col("_name")
+
+
+def _grams(text: str) -> Column:
+    starts = F.sequence(F.lit(1), F.length(text) - (GRAM - 1))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(GRAM))))
+
+
+def _names_of_parts(requests: DataFrame, catalog: DataFrame, small: bool) -> DataFrame:
+    """Requests by a part of a name, once for each name of the catalog that holds the part, which becomes ``_whole``.
+
+    A part is looked up by that one of its ``GRAM``-character pieces that fewest names hold.
+    """
+    held = catalog.select("Name").distinct().filter(F.length("Name") >= GRAM).select("Name", F.explode(_grams("Name")).alias("_gram"))
+    parts = requests.select("_name").distinct().select("_name", F.explode(_grams("_name")).alias("_gram"))
+    asked = parts.select("_gram").distinct()
+    asked = F.broadcast(asked) if small else asked
+    counts = held.join(asked, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = parts.join(counts, "_gram", "left").groupBy("_name").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)), "_gram"))["_gram"].alias("_gram"))
+    rarest = F.broadcast(rarest) if small else rarest
+    names = held.join(rarest, "_gram").filter(F.col("Name").contains(F.col("_name"))).select("_name", F.col("Name").alias("_found"))
+    return requests.join(names, "_name").withColumn("_whole", F.col("_found")).select(*requests.columns)
 
 
 _KEYS = ["_level", "_bucket", "_cx", "_cy"]

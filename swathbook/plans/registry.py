@@ -567,6 +567,43 @@ def resolve_ids(spark: SparkSession, sf: str) -> DataFrame:
     return RS.resolve_ids(X.listing(spark, sf), X.catalog(spark, sf))
 
 
+@register(
+    "listing_search",
+    sql(
+        ["src", "cat"],
+        """SELECT l.line_no, Id AS id, Name AS safename, replace(S3Path, '/eodata/', '') AS S3Path
+           FROM (SELECT *, row_number() OVER (PARTITION BY Name ORDER BY modified DESC, Id) AS rn FROM cat) c
+           JOIN (SELECT source_id, min(line_no) AS line_no FROM src WHERE ok AND regexp_matches(source_id, '.SAFE') GROUP BY source_id) l
+             ON c.Name = l.source_id WHERE rn = 1""",
+    ),
+)
+def listing_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Listing to requests to search to ids."""
+    return RS.search_listing(X.listing(spark, sf), X.catalog(spark, sf), private_units=["S1C"])
+
+
+@register(
+    "search_name_parts",
+    sql(
+        ["cat"],
+        """SELECT q.request_key, c.Id FROM (SELECT CAST(n_nationkey AS VARCHAR) AS request_key,
+             CASE WHEN n_nationkey % 2 = 0 THEN 'S_2024' || printf('%02d', 1 + n_nationkey % 3) || printf('%02d', 1 + n_nationkey)
+               ELSE '_' || printf('%06d', 7 * n_nationkey) || '_' END AS part,
+             CASE n_nationkey % 3 WHEN 1 THEN 'IW' END AS md FROM nation) q
+           JOIN cat c ON contains(c.Name, q.part) AND (q.md IS NULL OR c.mode = q.md)""",
+    ),
+)
+def search_name_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests for parts of names without a window."""
+    n = F.col("n_nationkey")
+    day = F.concat(F.lit("S_2024"), F.lpad((1 + n % 3).cast("string"), 2, "0"), F.lpad((1 + n).cast("string"), 2, "0"))
+    orbit = F.concat(F.lit("_"), F.lpad((7 * n).cast("string"), 6, "0"), F.lit("_"))
+    req = X.table(spark, sf, "nation").select(
+        n.cast("string").alias("request_key"), F.when(n % 2 == 0, day).otherwise(orbit).alias("name"), F.when(n % 3 == 1, "IW").alias("sensormode"),
+    )
+    return S.search(R.normalize_requests(req), X.catalog(spark, sf)).select("request_key", "Id")
+
+
 @register("odata_listing", sql(["prod"], "SELECT event_id || '-' || k AS id, Name AS safename FROM prod WHERE event_type <> 'signup'"))
 def odata_listing(spark: SparkSession, sf: str) -> DataFrame:
     documents = X.response_documents(spark, sf)
