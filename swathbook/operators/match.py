@@ -35,10 +35,9 @@ def _sources(listing: DataFrame, name: str, target_type: str, raw_level: str) ->
 
 
 def _candidates(catalog: DataFrame, target_type: str) -> DataFrame:
-    token = target_type.rstrip("_").ljust(4, "_")
     fields = N.s1_fields("Name")
     wanted = catalog.filter(
-        (F.substring("Name", 7, 5) == F.lit("_" + token)) & ~F.col("Name").contains("_COG")
+        (F.substring("Name", 7, 5) == F.concat(F.lit("_"), N.type_token(target_type))) & ~F.col("Name").contains("_COG")
     ).select("Name", "Id", "ContentLength")
     return computed_once(wanted, {"Name": F.col("Name")}).select(
         F.get(F.split("Name", "_"), 0).alias("_unit"),

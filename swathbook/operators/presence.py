@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swathbook import constants as K
@@ -12,10 +12,8 @@ from swathbook.operators.skew import ROWS_PER_SLOT, skew_join
 ARCHIVE, SPOOL, OUTDIR, ABSENT = "archive", "spool", "outdir", "absent"
 
 
-def expected_paths(
-    names: DataFrame, archives: list[str], spools: list[str], outdir: str, name: str = "safename"
-) -> DataFrame:
-    """Every path under which a name may lie: ``tier``, ``rank`` (order of preference), ``path``."""
+def _spots(archives: list[str], spools: list[str], outdir: str, name: str) -> Column:
+    """Every path under which a name may lie, as an array of ``tier``, ``rank`` (order of preference) and ``path``."""
     places = []
     for root in archives:
         folder = P.archive_dir(name, root.rstrip("/"))
@@ -24,20 +22,31 @@ def expected_paths(
         places.append((SPOOL, F.concat(F.lit(root.rstrip("/") + "/"), F.col(name))))
     places.append((OUTDIR, F.concat(F.lit(outdir.rstrip("/") + "/"), F.col(name))))
 
-    def ranked(k: int, tier: str, path) -> object:
+    def ranked(k: int, tier: str, path: Column) -> Column:
         return F.transform(
             P.name_variants(path),
             lambda p, i: F.struct(F.lit(tier).alias("tier"), (i + 3 * k).alias("rank"), p.alias("path")),
         )
 
-    spots = F.flatten(F.array(*[ranked(k, tier, path) for k, (tier, path) in enumerate(places)]))
+    return F.flatten(F.array(*[ranked(k, tier, path) for k, (tier, path) in enumerate(places)]))
+
+
+def expected_paths(
+    names: DataFrame, archives: list[str], spools: list[str], outdir: str, name: str = "safename"
+) -> DataFrame:
+    """Every path under which a name may lie: ``tier``, ``rank`` (order of preference), ``path``."""
     return (
-        names.select(name, F.explode(spots).alias("_spot"))
+        names.select(name, F.explode(_spots(archives, spools, outdir, name)).alias("_spot"))
         .select(name, F.col("_spot.tier"), F.col("_spot.rank"), F.col("_spot.path"))
         .filter("path IS NOT NULL")
     )
 
 
+def _stem(path: str) -> Column:
+    """What all variants of a name have in common: its last part without endings."""
+    return F.replace(F.replace(P.base_name(path), F.lit(".SAFE"), F.lit("")), F.lit(".zip"), F.lit(""))
+
+
 def locate(
     listing: DataFrame,
     files: DataFrame,
@@ -53,16 +62,18 @@ def locate(
     """Add to each listed product: ``tier`` (first that holds it, else absent), ``found_path``,
     ``to_download``, ``output_path`` and, when the listing has ids, ``url``.
 
-    Names and files are made distinct first, so the path join has unique keys on both
-    sides however often a name is listed. ``force`` downloads everything but keeps the tier.
+    Names and files are made distinct first and joined once, on the bare name; the places of a name are worked out for
+    the files that bear it. ``force`` downloads everything but keeps the tier.
     """
     names = listing.select(name).filter(F.col(name).isNotNull()).distinct()
-    candidates = expected_paths(names, archives, spools, outdir, name)
-    held = files.select("path").distinct()
+    held = files.select("path").distinct().withColumn("_stem", _stem("path"))
+    spot = F.get(F.filter(_spots(archives, spools, outdir, name), lambda s: s["path"] == F.col("path")), 0)
     hits = (
-        candidates.join(held, "path", "inner")
+        names.withColumn("_stem", _stem(name)).join(held, "_stem", "inner")
+        .select(name, spot.alias("_spot"))
+        .filter("_spot IS NOT NULL")
         .groupBy(name)
-        .agg(F.min(F.struct("rank", "tier", "path")).alias("_hit"))
+        .agg(F.min(F.struct("_spot.rank", "_spot.tier", "_spot.path")).alias("_hit"))
         .select(name, F.col("_hit.tier").alias("_tier"), F.col("_hit.path").alias("found_path"))
     )
     df = skew_join(listing, hits, [name], "left", rows_per_slot)

@@ -226,6 +226,19 @@ def _prune(catalog: DataFrame, p: RequestProfile) -> DataFrame:
     return catalog
 
 
+def _prune_months(catalog: DataFrame, prepared: DataFrame, p: RequestProfile) -> DataFrame:
+    """A stored catalog cut to the months that some request's window touches; Spark prunes its partitions by them at run time.
+
+    The months of all windows, at most those from the first to the last, are broadcast.
+    """
+    if "start_month" not in catalog.columns or p.first_month is None or p.last_month is None:
+        return catalog
+    every = F.sequence(F.trunc("_from", "MM"), F.trunc("_to", "MM"), F.expr("INTERVAL '1' MONTH"))
+    months = prepared.filter(F.col("_from") <= F.col("_to")).select(F.explode(F.transform(every, lambda m: F.date_format(m, "yyyy-MM"))).alias("start_month")).distinct()
+    months = months.filter(F.col("start_month").between(p.first_month, p.last_month))
+    return catalog.join(F.broadcast(months), "start_month", "left_semi")
+
+
 def catalog_span(catalog: DataFrame) -> tuple[int, int]:
     """First and last start of the products, in seconds; one aggregate over one column."""
     start = F.unix_seconds("content_start")
@@ -376,7 +389,7 @@ def _search_by_day(
     # outer explodes: a null key never joins, and no filter over the whole key expression is derived
     req = prepared.withColumn("_time", F.explode_outer("_times")).withColumn("_cell", F.explode_outer("_cells"))
     req = _flat_keys(req.drop("_times", "_cells"))
-    products = _flat_keys(_prepare_catalog(catalog, profile, cell_degrees, span))
+    products = _flat_keys(_prepare_catalog(_prune_months(catalog, prepared, profile), profile, cell_degrees, span))
     shared = G.shared_cell(F.col("box"), F.col("_area_box"), cell_degrees)
     condition = _asked(profile, (F.col("_cx") == shared["cx"]) & (F.col("_cy") == shared["cy"]))
     if strategy == "auto":

@@ -114,6 +114,13 @@ def catalog(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def raw_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog with its GRDH products as RAW_ ones, of level 0 for even events and of level 1 for odd ones."""
+    even = F.split_part("Id", F.lit("-"), F.lit(1)).cast("long") % 2 == 0
+    name = F.replace("Name", F.lit("GRDH_1S"), F.when(even, "RAW__0S").otherwise("RAW__1S"))
+    return catalog(spark, sf).withColumn("Name", name)
+
+
 def skewed_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """The catalog with slanted footprints instead of rectangles, and two-part ones for purchases."""
     c = catalog(spark, sf)

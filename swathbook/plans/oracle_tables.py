@@ -48,7 +48,7 @@ FROM (SELECT s_suppkey AS k, s_nationkey AS n, TIMESTAMP '2024-01-01' + to_days(
       FROM supplier)"""
 
 CTES["hits"] = """
-SELECT r.id_original_query, r.request_key, c.*
+SELECT r.id_original_query, r.request_key, r.s, r.e, c.*
 FROM req r JOIN cat c ON (r.s IS NULL OR c.content_start > r.s) AND (r.e IS NULL OR c.content_start < r.e)
   AND (r.collection IS NULL OR c.collection = r.collection) AND (r.name_part IS NULL OR contains(c.Name, r.name_part))
   AND (r.sensormode IS NULL OR c.mode = r.sensormode) AND (r.producttype IS NULL OR c.ptype = r.producttype)
@@ -104,15 +104,17 @@ SELECT line_no, safename AS source_id, ok, CASE WHEN ok THEN substr(safename, 1,
 FROM (SELECT *, {_TIME.format(at=18)} AS st, NOT contains(safename, '/') AND safename LIKE 'S1%'
         AND {_TIME.format(at=18)} IS NOT NULL AND {_TIME.format(at=34)} IS NOT NULL AS ok FROM listing)"""
 
-CTES["matched"] = """
+def matched(target: str, level: str, catalog: str = "cat") -> str:
+    """The sibling match of the listing with products of one type and level."""
+    return f"""
 SELECT line_no, source_id, CASE WHEN hit THEN Id END AS target_id, CASE WHEN hit THEN cand END AS target_name,
-  CASE WHEN hit THEN 'GRDH' END AS target_type,
+  CASE WHEN hit THEN '{target}' END AS target_type,
   CASE WHEN hit THEN CASE WHEN exact THEN 'exact_timestamp' ELSE 'closest_in_time' END END AS match_method,
   CASE WHEN hit THEN round(size / 1048576.0, 2) END AS size_mb,
   CASE WHEN hit THEN 'https://download.dataspace.copernicus.eu/odata/v1/Products(' || Id || ')/$value' END AS download_url,
   CASE WHEN NOT ok THEN 'error' WHEN hit THEN 'found' ELSE 'not_found' END AS status,
-  CASE WHEN NOT ok THEN err WHEN hit THEN NULL WHEN Id IS NULL THEN 'No GRDH product found for DataTake ' || take
-    ELSE 'Closest GRDH product is ' || delta || 's away (>8s threshold): ' || cand END AS note,
+  CASE WHEN NOT ok THEN err WHEN hit THEN NULL WHEN Id IS NULL THEN 'No {target} product found for DataTake ' || take
+    ELSE 'Closest {target} product is ' || delta || 's away (>8s threshold): ' || cand END AS note,
   CASE WHEN exact THEN 0 ELSE delta END AS delta_seconds
 FROM (
   SELECT *, coalesce(exact OR delta <= 8, false) AS hit FROM (
@@ -122,11 +124,14 @@ FROM (
         CASE WHEN contains(c.Name, strftime(s.st, '%Y%m%dT%H%M%S')) THEN 0 ELSE 1 END,
         CASE WHEN contains(c.Name, strftime(s.st, '%Y%m%dT%H%M%S')) THEN 0
              ELSE abs(epoch(c.content_start) - epoch(s.st)) END, c.Name, c.Id) AS rn
-    FROM src s LEFT JOIN (SELECT * FROM cat WHERE substr(Name, 7, 5) = '_GRDH' AND NOT contains(Name, '_COG')) c
-      ON substr(c.Name, 1, 3) = s.unit AND substr(c.Name, 50, 13) = s.orbit_take AND substr(c.Name, 13, 4) = s.level_pol
+    FROM src s LEFT JOIN (SELECT * FROM {catalog} WHERE substr(Name, 7, 5) = '_{target}' AND NOT contains(Name, '_COG')) c
+      ON substr(c.Name, 1, 3) = s.unit AND substr(c.Name, 50, 13) = s.orbit_take AND substr(c.Name, 13, 4) = '{level}' || substr(s.level_pol, 2)
   ) WHERE rn = 1
 )"""
 
+
+CTES["matched"] = matched("GRDH", "1")
+
 _DIR = (
     "'/sentinel-1' || lower(substr(split_part(safename, '_', 1), 3)) || '/L' || substr(safename, 13, 1) || '/' || md || '/' "
     "|| split_part(safename, '_', 1) || '_' || md || substr(safename, 7, 8) || strftime(st, '/%Y/%j') || '/' || safename"
@@ -229,12 +234,15 @@ SHAPES = {
 }
 LAND_SIDES = ["q.x - lx0", "lx1 - q.x", "q.y - ly0", "ly1 - q.y"]
 
+#: The catalog with its GRDH products as RAW_ ones, of level 0 for even events and of level 1 for odd ones.
+CTES["raw_cat"] = "SELECT * REPLACE (replace(Name, 'GRDH_1S', CASE WHEN event_id % 2 = 0 THEN 'RAW__0S' ELSE 'RAW__1S' END) AS Name) FROM cat"
+
 _ORDER = [
-    "prod", "cat", "req", "hits", "latest", "land", "skew", "sea", "file", "listing", "src", "matched", "nm", "spots", "located",
+    "prod", "cat", "raw_cat", "req", "hits", "latest", "land", "skew", "sea", "file", "listing", "src", "matched", "nm", "spots", "located",
     "xfer", "obj", "other",
 ]
 _NEEDS = {
-    "cat": ["prod"], "hits": ["req", "cat"], "latest": ["hits"], "sea": ["cat", "land"], "skew": ["cat"], "file": ["prod"],
+    "cat": ["prod"], "raw_cat": ["cat"], "hits": ["req", "cat"], "latest": ["hits"], "sea": ["cat", "land"], "skew": ["cat"], "file": ["prod"],
     "listing": ["prod"], "src": ["listing"], "matched": ["src", "cat"], "nm": ["listing"], "spots": ["nm"],
     "located": ["listing", "spots", "file"], "obj": ["prod"],
 }

@@ -23,8 +23,9 @@ from swathbook.operators import transfers as T
 from swathbook.plans import fixtures as X
 from swathbook.plans import lifecycle as L
 from swathbook.functions.polygons import with_simple_geometry
-from swathbook.plans.oracle_tables import AREA, LAND_SIDES, SHAPES, clipped, sql
+from swathbook.plans.oracle_tables import AREA, LAND_SIDES, SHAPES, clipped, matched, sql
 from swathbook.sources import readers as RD
+from swathbook.sources import writers as WR
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,6 +152,26 @@ def search_open_windows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stored_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog written to the folder that the cluster shares (checkpoint folder, else warehouse), and read back."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/catalog-{spark.sparkContext.applicationId}-{abs(hash(sf))}"
+    WR.write_catalog(X.catalog(spark, sf), path, mode="overwrite")
+    return RD.read_catalog(spark, path)
+
+
+@register(
+    "search_stored",
+    sql(["hits"], "SELECT id_original_query, request_key, Id FROM hits WHERE s IS NOT NULL AND e IS NOT NULL AND (s < TIMESTAMP '2024-01-05' OR s > TIMESTAMP '2024-01-20')",
+        ),
+)
+def search_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests with closed windows against the stored catalog; months that no window touches are not read."""
+    req = R.normalize_requests(X.requests(spark, sf)).filter("start_datetime IS NOT NULL AND end_datetime IS NOT NULL")
+    req = req.filter("start_datetime < '2024-01-05' OR start_datetime > '2024-01-20'")
+    return S.search(req, _stored_catalog(spark, sf)).select("id_original_query", "request_key", "Id")
+
+
 @register(
     "search_top",
     sql(
@@ -653,6 +674,27 @@ def match_siblings(spark: SparkSession, sf: str) -> DataFrame:
     return _matches(spark, sf).withColumn("delta_seconds", F.coalesce("delta_seconds", F.lit(-1)))
 
 
+_DELTAS = "SELECT * REPLACE (coalesce(delta_seconds, -1) AS delta_seconds) FROM {}"
+
+
+def _register_match(query: str, target: str, level: str, raw: bool = False, mode: str = "default") -> None:
+    """Matches with another type than GRDH; RAW_ ones at both levels."""
+    needs = ["src", "raw_cat" if raw else "cat"]
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        catalog = X.raw_catalog(spark, sf) if raw else X.catalog(spark, sf)
+        found = M.match_siblings(X.listing(spark, sf), catalog, target, mode=mode)
+        return found.withColumn("delta_seconds", F.coalesce("delta_seconds", F.lit(-1)))
+
+    register(query, sql(needs, _DELTAS.format("m"), {"m": matched(target, level, "raw_cat" if raw else "cat")}))(run)
+
+
+_register_match("match_ocn", "OCN_", "2")
+_register_match("match_slc", "SLC_", "1")
+_register_match("match_raw", "RAW_", "0", raw=True)
+_register_match("match_raw_reference", "RAW_", "1", raw=True, mode="reference")
+
+
 @register(
     "match_report",
     sql(["matched"], "SELECT coalesce(target_name, '# NOT_FOUND: ' || source_id || ' — ' || coalesce(note, '')) AS line FROM matched"),
