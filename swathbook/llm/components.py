@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swathbook.llm.shared import write_table
+from swathbook.llm.shared import drop_tables, shuffles_for, write_table
 
 
 def _digest(edges: DataFrame) -> tuple[int, int]:
@@ -25,21 +25,26 @@ def components(links: DataFrame) -> DataFrame:
     edges = write_table(edges, "links")
     state = _digest(edges)
     while state[0]:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = edges.groupBy("a").agg(F.min("b").alias("m"))
-        lowest = lowest.unionByName(edges.select(F.col("b").alias("a"), F.col("b").alias("m")))
-        lowest = lowest.groupBy("a").agg(F.min("m").alias("m"))
-        large = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.unionByName(lowest.withColumnRenamed("m", "b")).distinct()
-        edges = write_table(small, "links")
-        before, state = state, _digest(edges)
+        with shuffles_for(edges.sparkSession, 2 * state[0]):
+            both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            lowest = edges.groupBy("a").agg(F.min("b").alias("m"))
+            lowest = lowest.unionByName(edges.select(F.col("b").alias("a"), F.col("b").alias("m")))
+            lowest = lowest.groupBy("a").agg(F.min("m").alias("m"))
+            large = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            large = large.where("a <> b").distinct()
+            lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+            small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            small = small.unionByName(lowest.withColumnRenamed("m", "b")).distinct()
+            superseded, edges = edges, write_table(small, "links")
+            drop_tables(superseded)
+            before, state = state, _digest(edges)
         if state == before:
             break
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    found = write_table(roots, "roots")
+    drop_tables(edges)
+    return found
 
 
 def crowded(bands: DataFrame) -> DataFrame:
@@ -48,47 +53,89 @@ def crowded(bands: DataFrame) -> DataFrame:
     return write_table(bands.join(many, "key").select("node", "key"), "buckets")
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def unlike(buckets: DataFrame) -> DataFrame:
+    """Rows (node, key) without the keys whose nodes are those of a smaller key: they would make the same pairs again."""
+    sets = buckets.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")
+    )
+    kept = sets.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key")
+    found = write_table(buckets.join(kept, "key").select("node", "key"), "buckets")
+    drop_tables(buckets)
+    return found
+
+
+def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Roots (node, root) of the components of all verified pairs that share a bucket; nodes without a link are absent.
 
     ``verify`` gets candidate pairs (a, b) and returns those that hold. In a star round, a member of a bucket is tried
     against one node of it, the first of another component; rounds go on while buckets have several components and
-    links are found. What is then still apart is tried pair by pair, only across components, so that the components
-    are the same as if all pairs had been tried. Star rounds end early when such pairs are fewer than bucket rows.
+    links are found. Star rounds end early when the pairs left are fewer than nodes. ``refine`` then gets the nodes (node)
+    that still share a bucket with another component, and returns finer buckets (node, key) that hold every pair
+    that can hold; star rounds go on in these. What is then still apart is tried pair by pair, only across
+    components, so that the components are the same as if all pairs had been tried.
     """
     none = buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
     roots = buckets.select("node", F.col("node").alias("root")).where("false")
-    tried, turn, found, limit = none, 0, 1, buckets.count()
-    while found:
-        held = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_keys = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        held = write_table(held.join(open_keys, "key"), "open")
-        by_root = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-        by_key = by_root.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"))
-        if (by_key.agg(F.sum("cross")).first()[0] or 0) <= limit:
-            break
-        order = F.col("node") if turn < 2 else F.xxhash64("node", F.lit(turn))
-        pivots = held.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "root")).alias("p"))
-        pivots = pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
-        spokes = held.join(pivots, "key").where("root <> pivot_root")
-        pairs = spokes.groupBy("node").agg(F.min("pivot").alias("pivot")) if turn == 0 else spokes.select("node", "pivot")
-        pairs = pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        found, pairs, roots = _try(pairs.join(tried, ["a", "b"], "left_anti"), roots, verify)
-        tried = tried.unionByName(pairs)
+    roots, tried, held = _stars(buckets, verify, roots, none)
+    if refine is not None:
+        nodes = write_table(held.select("node").distinct(), "apart")
+        finer = unlike(crowded(refine(nodes)))
+        drop_tables(held, nodes)
+        roots, tried, held = _stars(finer, verify, roots, tried)
+        drop_tables(finer)
+    with shuffles_for(held.sparkSession, held.count()):
+        one = held.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
+        two = held.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
+        pairs = one.join(two, "key").where("ra <> rb and a > b").select("a", "b").distinct()
+        pairs = write_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    _, found = _try(pairs, roots, verify)
+    drop_tables(held, tried, pairs)
+    return found
+
+
+def _stars(
+    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], roots: DataFrame, tried: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Star rounds: the roots and tried pairs after them, and the rows (node, key, root) of buckets still apart."""
+    rows, limit = buckets.agg(F.count(F.lit(1)), F.count_distinct("node")).first()
+    turn, found, held = 0, 1, None
+    while True:
+        with shuffles_for(buckets.sparkSession, rows):
+            rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+            superseded, held = held, write_table(rooted.join(open_keys, "key").select("node", "key", "root"), "open")
+            drop_tables(superseded)
+            by_root = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+            by_key = by_root.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"))
+            if not found or (by_key.agg(F.sum("cross")).first()[0] or 0) <= limit:
+                return roots, tried, held
+            order = F.col("node") if turn < 2 else F.xxhash64("node", F.lit(turn))
+            pivots = held.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "root")).alias("p"))
+            pivots = pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
+            spokes = held.join(pivots, "key").where("root <> pivot_root")
+            pairs = spokes.groupBy("node").agg(F.min("pivot").alias("pivot")) if turn == 0 else spokes.select("node", "pivot")
+            pairs = pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
+            pairs = write_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+            earlier, tried = tried, write_table(tried.unionByName(pairs), "tried")
+            drop_tables(earlier)
+        before = roots
+        found, roots = _try(pairs, roots, verify)
+        if found:
+            drop_tables(before)
+        drop_tables(pairs)
         found = found or turn == 0
         turn += 1
-    one = held.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-    two = held.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
-    pairs = one.join(two, "key").where("ra <> rb and a > b").select("a", "b").distinct()
-    return _try(pairs.join(tried, ["a", "b"], "left_anti"), roots, verify)[2]
 
 
-def _try(pairs: DataFrame, roots: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[int, DataFrame, DataFrame]:
-    """Number of links found, the pairs that were tried, and the roots after joining the links to the roots so far."""
-    pairs = write_table(pairs, "pairs")
+def _try(pairs: DataFrame, roots: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[int, DataFrame]:
+    """Number of links found, and the roots after joining the links to the roots so far.
+
+    Verifying reads whole texts and runs in as many tasks as the session has shuffle partitions.
+    """
     good = write_table(verify(pairs).select("a", "b").distinct(), "good")
     found = good.count()
     if found:
         known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(known.unionByName(good))
-    return found, pairs, roots
+    drop_tables(good)
+    return found, roots

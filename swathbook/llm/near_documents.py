@@ -3,7 +3,8 @@
 Method. A document's words (five in a row make a shingle) weigh tf * idf. Each of ``bands * rows`` samples takes one
 shingle such that two documents agree with a probability equal to their weighted Jaccard similarity. Bands of samples
 are bucket keys; pairs that share a bucket are verified by the exact weighted Jaccard similarity of their whole texts,
-and verified pairs are joined by a distributed union-find.
+and verified pairs are joined by a distributed union-find. Buckets whose members are not linked by trying them against
+one of them are refined: by the rarest shingles of their documents, of which similar documents share one.
 
 Document frequencies of all shingles are counted. Distinct texts are packed in batches; a batch counts its own shingles
 and sends them, cut in bins by hash, to where a bin's counts are summed; the sums go back to the batches that asked. A
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swathbook.llm.components import crowded, linked
-from swathbook.llm.shared import ship_package, write_table
+from swathbook.llm.shared import drop_tables, ship_package, write_table
 from swathbook.llm.words import mix64, shingles, words
 
 WIDTH = 5
@@ -253,6 +254,18 @@ def _jaccard(one: np.ndarray, wa: np.ndarray, two: np.ndarray, wb: np.ndarray) -
     return float(both / either) if either > 0 else 0.0
 
 
+def prefix(values: np.ndarray, weights: np.ndarray, df: np.ndarray, threshold: float) -> np.ndarray:
+    """The rarest shingles of a document, so many that the others weigh less than ``threshold`` of it.
+
+    Two documents of a weighted Jaccard similarity of ``threshold`` or more share at least one of them: what they have in
+    common weighs ``threshold`` of each or more, and cannot lie in the rest of the one whose prefix ends first.
+    """
+    order = np.lexsort((values, df))
+    rest = weights.sum() - np.cumsum(weights[order])
+    # a small margin for rounding can only make the prefix longer
+    return values[order[: int((rest >= threshold * weights.sum() * (1 - 1e-9)).sum()) + 1]]
+
+
 def _release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are written and not referred to any more."""
     gc.collect()
@@ -308,6 +321,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
     _release(spark)
     signed = packed.groupBy("batch").cogroup(answers.groupBy("batch"))
     signed = write_table(signed.applyInArrow(_signed(n, spread), "node long, bands array<long>, levels binary"), "signed")
+    drop_tables(answers, packed, heads)
     del answers, packed
     _release(spark)
     buckets = crowded(signed.select("node", F.explode("bands").alias("key")))
@@ -317,16 +331,17 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
     whole = keyed.join(F.broadcast(wanted) if small else wanted, "text_key")
     whole = whole.groupBy("node").agg(F.first("text").alias("text"))
     whole = write_table(whole.join(signed.select("node", "levels"), "node"), "texts")
+    drop_tables(signed, wanted)
 
-    def weighed(batch: pa.RecordBatch, side: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        levels = batch.column(f"levels_{side}")
-        for i, values, counts in _per_row(batch.column(f"text_{side}")):
+    def weighed(batch: pa.RecordBatch, side: str = "") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        levels = batch.column(f"levels{side}")
+        for i, values, counts in _per_row(batch.column(f"text{side}")):
             yield i, values, counts * _idf(np.frombuffer(levels[i].as_buffer(), np.uint32), n, spread)
 
     def holds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one = {i: (v, w) for i, v, w in weighed(batch, "a")}
-            keep = [_jaccard(*one[i], v, w) >= threshold for i, v, w in weighed(batch, "b")]
+            one = {i: (v, w) for i, v, w in weighed(batch, "_a")}
+            keep = [_jaccard(*one[i], v, w) >= threshold for i, v, w in weighed(batch, "_b")]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -335,7 +350,15 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
         both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b", "levels_a", "levels_b")
         return both.mapInArrow(holds, "a long, b long")
 
-    roots = linked(buckets, verify)
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, prefix(v, w, np.frombuffer(batch.column("levels")[i].as_buffer(), np.uint32), threshold)) for i, v, w in weighed(batch)]
+            node = batch.column("node").to_numpy()[[i for i, _ in found]]
+            keys = np.concatenate([k for _, k in found] or [np.zeros(0, np.uint64)])
+            yield pa.RecordBatch.from_pydict({"node": pa.array(np.repeat(node, [len(k) for _, k in found]), pa.int64()), "key": pa.array(keys.view(np.int64))})
+
+    roots = linked(buckets, verify, lambda apart: whole.join(apart, "node", "left_semi").select("node", "text", "levels").mapInArrow(prefixes, "node long, key long"))
+    drop_tables(whole, buckets)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = nodes.select(F.col("node").alias("root"), F.col("id").alias("class_id"), F.col("text_key").alias("class_key"))
     # nodes are numbered in the order of id with nulls first: a null id must not stand for a class that has another

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,7 +58,29 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])).parquet(path)
+    table = spark.read.schema(T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])).parquet(path)
+    table.table_path = path
+    return table
+
+
+def drop_tables(*tables: DataFrame | None) -> None:
+    """Delete tables made by ``write_table`` that nothing will read any more (None and other DataFrames are passed over)."""
+    for table in tables:
+        path = vars(table).get("table_path") if table is not None else None
+        if path:
+            remove_tables(table.sparkSession, path)
+
+
+@contextlib.contextmanager
+def shuffles_for(spark: SparkSession, rows: int, rows_per_task: int = 50_000) -> Iterator[None]:
+    """Shuffle partitions for about ``rows`` narrow rows, at most as many as the session has; for work that runs inside."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(1, min(int(before), -(-rows // rows_per_task)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def running_total(df: DataFrame, order: list[str], value: str, partitions: int | None = None) -> DataFrame:
