@@ -1,192 +1,217 @@
-"""Benchmark decontamination with a positional inverted index that is cut by documents.
-
-Each batch of documents gets its own index: for every term of the benchmark the postings (positions) of its
-occurrences in the batch. A phrase starts from the postings of its rarest term there, moves them by the term's offset,
-and intersects them with the postings of its other terms, rarest first; what is left are exact matches. For proximity
-matches, the lists need only meet within a span of the phrase's length and some words more, in any order. Since a
-document lies whole in one batch, no posting has to be shuffled; ``positional_index`` gives the index as a table.
-
-The benchmark's windows are broadcast. A benchmark beyond MAX_BYTES is taken in several passes, each with a part of
-its items, so that what is broadcast at once stays bounded.
+"""Benchmark decontamination with a stored positional inverted index.
+
+The index is a table of postings: for each word of each chunk of documents (about 1 MiB of text, whole documents) the
+ascending list of its places. A place is row << 32 | word number, where row counts the documents of the chunk; a header
+row of each chunk has the documents' numbers and words. The benchmark's windows are a table too. Word counts over the
+whole index put the words of each window in order. The lists of a window's rarest word are joined first, each place
+moved back by the word's offset; they are intersected with the lists of its second word in the same chunk, and the few
+that are left with the lists of all its other words. For proximity matches the lists need not be equal after the move:
+all words have to lie within a span of the window's length and SLACK words more, in any order.
+
+Nothing is collected or broadcast by this module; the joins are on word and chunk. A word that is in very many chunks is
+dealt to slots. Matches of a document depend on its words and the benchmark alone, however the documents lie in chunks.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from swathbook.llm.shared import ship_package, write_table
+from swathbook.llm.shared import drop_tables, ship_package, write_table
 from swathbook.llm.words import words
 
 #: Words of a window; an item of fewer words, but not none, is one window.
 WINDOW = 10
-#: Bytes of benchmark text that are broadcast at once.
-MAX_BYTES = 64 << 20
 #: Extra words that a proximity match may span.
 SLACK = 3
+#: Lists of one word that a join task takes before the word is dealt to more slots.
+LISTS_PER_SLOT = 100_000
+
+_LIST = pa.list_(pa.int64())
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(number, text) to rows of the index: a header and the lists of each chunk."""
+    names = ["chunk", "term", "places", "numbers"]
+    for batch in batches:
+        numbers = batch.column(0).to_numpy(zero_copy_only=False)
+        for first, hashes, bounds in words(batch.column(1)):
+            count = np.diff(bounds)
+            own = numbers[first : first + len(count)]
+            yield pa.RecordBatch.from_arrays([pa.array(own[:1]), pa.nulls(1, pa.int64()), pa.array([count], _LIST), pa.array([own], _LIST)], names)
+            if not len(hashes):
+                continue
+            place = (np.repeat(np.arange(len(count)), count) << 32) + np.arange(len(hashes)) - np.repeat(bounds[:-1], count)
+            order = np.argsort(hashes, kind="stable")
+            ordered = hashes[order]
+            begin = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
+            offsets = pa.array(np.append(begin, len(ordered)), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(place[order], pa.int64()))
+            term = pa.array(ordered[begin].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(begin), own[0])), term, lists, pa.nulls(len(begin), _LIST)], names)
+
+
+def positional_index(df: DataFrame, number: str = "number", text: str = "text") -> DataFrame:
+    """The stored index of ``df``, whose column ``number`` (long, never null) tells its rows apart.
+
+    Rows with a term (word hash) have the ascending ``places`` of the word in the chunk. One row without a term for each
+    chunk has the ``numbers`` of its documents, and in ``places`` their counts of words: the document of place p is
+    numbers[p >> 32]. Rows with a null text or no word are in the header, with 0 words. An empty table gives no rows.
+    """
+    ship_package(df.sparkSession)
+    narrow = df.select(F.col(number).cast("long").alias("number"), F.col(text).alias("text"))
+    return write_table(narrow.mapInArrow(_postings, "chunk long, term long, places array<long>, numbers array<long>"), "postings")
+
 
+def windows_of(items: DataFrame, id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """Distinct (window, item, terms): all windows of each item. A null id counts as "null"; null texts have no windows."""
+    ship_package(items.sparkSession)
 
-@dataclass
-class Windows:
-    """Distinct windows of a set of items. Terms are numbered; a window of fewer words is filled up with -1."""
-
-    terms: np.ndarray  # sorted word hashes
-    body: np.ndarray  # windows x WINDOW: term numbers
-    length: np.ndarray
-    item_bounds: np.ndarray  # items of window i: items[item_bounds[i]:item_bounds[i + 1]]
-    items: np.ndarray
-    names: list  # item ids
-
-
-def windows_of(ids: list, texts: list, window: int = WINDOW) -> Windows:
-    rows, owner = [], []
-    for first, hashes, bounds in words(pa.array(texts, pa.large_string())):
-        for i in range(len(bounds) - 1):
-            own = hashes[bounds[i] : bounds[i + 1]]
-            size = min(window, len(own))
-            for j in range(len(own) - size + 1 if size else 0):
-                rows.append(np.pad(own[j : j + size], (0, window - size)))
-                owner.append((first + i, size))
-    if not rows:
-        none = np.zeros(0, np.int64)
-        return Windows(np.zeros(0, np.uint64), np.zeros((0, window), np.int64), none, np.zeros(1, np.int64), none, ids)
-    flat = np.array(rows)
-    size = np.array([n for _, n in owner])
-    used = np.arange(window) < size[:, None]
-    terms = np.unique(flat[used])
-    body = np.where(used, np.searchsorted(terms, flat), -1)
-    distinct, which = np.unique(body, axis=0, return_inverse=True)
-    pairs = np.unique(np.stack([which.ravel(), [i for i, _ in owner]]), axis=1)
-    bounds = np.searchsorted(pairs[0], np.arange(len(distinct) + 1))
-    return Windows(terms, distinct, (distinct >= 0).sum(1), bounds, pairs[1], ids)
-
-
-def _postings(hashes: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Term number at each position (-1: none), positions in the order of terms, bounds of each term's positions."""
-    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    term = np.where(terms[at] == hashes, at, -1).astype(np.int32)
-    known = np.flatnonzero(term >= 0)
-    order = known[np.argsort(term[known], kind="stable")]
-    return term, order, np.concatenate([[0], np.cumsum(np.bincount(term[known], minlength=len(terms)))])
-
-
-def _expand(begin: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For lists begin[i]..begin[i] + count[i]: which list, and the index, of each element."""
-    which = np.repeat(np.arange(len(count)), count)
-    return which, np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
-
-
-def match_exact(index, row_of: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray]:
-    """(window, start) of every exact occurrence; ``row_of`` has the row of each position."""
-    term, order, bounds = index
-    freq = np.diff(bounds)
-    n_terms = np.where(w.body >= 0, freq[w.body], np.iinfo(np.int64).max)
-    live = np.flatnonzero((n_terms > 0).all(1))
-    by_rarity = np.argsort(n_terms[live], axis=1, kind="stable")
-    rarest = w.body[live, by_rarity[:, 0]]
-    which, at = _expand(bounds[rarest], freq[rarest])
-    start = order[at] - by_rarity[which, 0]
-    last = start + w.length[live][which] - 1
-    ok = (start >= 0) & (last < len(term))
-    ok[ok] = row_of[start[ok]] == row_of[last[ok]]
-    which, start = which[ok], start[ok]
-    for step in range(1, w.body.shape[1]):
-        offset = by_rarity[which, step]
-        wanted = w.body[live[which], offset]
-        ok = wanted < 0
-        ok[~ok] = term[start[~ok] + offset[~ok]] == wanted[~ok]
-        which, start = which[ok], start[ok]
-    return live[which], start
-
-
-def match_near(index, row_of: np.ndarray, w: Windows, slack: int = SLACK) -> tuple[np.ndarray, np.ndarray]:
-    """(window, position of its rarest term) where every term of the window lies within a span around it.
-
-    The span reaches length + slack - 1 words to either side, inside the row.
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, hashes, bounds in words(batch.column(1)):
+                for i in np.flatnonzero(np.diff(bounds)):
+                    own = hashes[bounds[i] : bounds[i + 1]].view(np.int64)
+                    body = np.lib.stride_tricks.sliding_window_view(own, min(window, len(own)))
+                    for k in range(0, len(body), 10_000):
+                        part = body[k : k + 10_000]
+                        offsets = pa.array(np.arange(len(part) + 1) * part.shape[1], pa.int32())
+                        item = pa.array([batch.column(0)[first + int(i)].as_py()] * len(part), pa.string())
+                        yield pa.RecordBatch.from_arrays([item, pa.ListArray.from_arrays(offsets, pa.array(part.ravel()))], ["item", "terms"])
+
+    named = items.select(F.coalesce(F.col(id).cast("string"), F.lit("null")).alias("item"), F.col(text).cast("string").alias("text"))
+    found = named.mapInArrow(cut, "item string, terms array<long>")
+    return found.select(F.xxhash64("terms").alias("window"), "item", "terms").distinct()
+
+
+def _ordered_windows(windows: DataFrame, lists: DataFrame) -> tuple[DataFrame, int]:
+    """Each window all of whose words occur, with ``steps``: (n, offset, term) from its rarest word on; and the slots
+    that the most frequent first word needs."""
+    counts = lists.groupBy("term").agg(F.sum(F.size("places")).alias("n"), F.count(F.lit(1)).alias("n_lists"))
+    bodies = windows.groupBy("window").agg(F.first("terms").alias("terms"))
+    each = bodies.select("window", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term"))
+    step = F.struct("n", "offset", "term", "n_lists")
+    ordered = each.join(counts, "term").groupBy("window", "length").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    ordered = write_table(ordered.where(F.size("steps") == F.col("length")), "windows")
+    most = ordered.agg(F.max(F.col("steps")[0]["n_lists"])).first()[0] or 0
+    return ordered, int(most // LISTS_PER_SLOT) + 1
+
+
+def _begun(ordered: DataFrame, lists: DataFrame, slots: int) -> DataFrame:
+    """Lists of the rarest word of each window: window, length, steps, chunk, places."""
+    dealt = lists.withColumn("slot", F.pmod(F.xxhash64("chunk"), F.lit(slots)))
+    asked = ordered.withColumn("term", F.col("steps")[0]["term"]).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
+    return dealt.join(asked, ["term", "slot"]).select("window", "length", "steps", "chunk", "places")
+
+
+def _moved(places: str, offset: Column) -> Column:
+    return F.transform(places, lambda p: p - offset)
+
+
+def _second(begun: DataFrame, ordered: DataFrame, lists: DataFrame, at: int) -> DataFrame:
+    """Join the list of step ``at`` of each row's own chunk as ``other``; only words that are such a step are shuffled."""
+    asked = ordered.where(F.size("steps") > at).select(F.col("steps")[at]["term"].alias("term")).distinct()
+    other = lists.join(asked, "term", "left_semi").select("term", "chunk", F.col("places").alias("other"))
+    return begun.where(F.size("steps") > at).withColumn("term", F.col("steps")[at]["term"]).join(other, ["term", "chunk"]).drop("term")
+
+
+def _rest(left: DataFrame, lists: DataFrame, key: str) -> DataFrame:
+    """For each row of ``left`` (of fewer rows than lists), its later steps with their lists: key, step, other."""
+    later = left.select(key, "chunk", F.explode(F.slice("steps", F.lit(3), F.greatest(F.size("steps") - 2, F.lit(0)))).alias("step"))
+    return later.withColumn("term", F.col("step")["term"]).join(lists.select("term", "chunk", F.col("places").alias("other")), ["term", "chunk"])
+
+
+def match_exact(ordered: DataFrame, lists: DataFrame, slots: int = 1) -> DataFrame:
+    """window, length, chunk, place of the first word, of every occurrence of a window, each once."""
+    begun = _begun(ordered, lists, slots).withColumn("places", _moved("places", F.col("steps")[0]["offset"]))
+    single = begun.where("length = 1")
+    both = _second(begun, ordered, lists, 1)
+    both = both.withColumn("places", F.array_intersect("places", _moved("other", F.col("steps")[1]["offset"]))).drop("other")
+    both = write_table(both.where(F.size("places") > 0), "pairs_of_words")
+    longer = both.where("length > 2").withColumn("pair", F.xxhash64("window", "chunk"))
+    place = F.explode(F.array_intersect("places", _moved("other", F.col("step")["offset"])))
+    each = _rest(longer, lists, "pair").join(longer.select("pair", "places"), "pair").select("pair", place.alias("place"))
+    whole = each.groupBy("pair", "place").agg(F.count(F.lit(1)).alias("met")).join(longer.select("pair", "window", "chunk", "length"), "pair").where("met = length - 2")
+    columns = ["window", "length", "chunk", "place"]
+    short = single.unionByName(both.where("length = 2")).select("window", "length", "chunk", F.explode("places").alias("place"))
+    return short.select(columns).unionByName(whole.select(columns))
+
+
+def _beside(places: pa.Array, other: pa.Array, reach: pa.Array) -> pa.Array:
+    """The places that have one of ``other`` at most ``reach`` words away."""
+    out = []
+    for a, b, r in zip(places, other, reach.to_pylist(), strict=True):
+        a, b = a.values.to_numpy(), b.values.to_numpy()
+        after = np.searchsorted(b, a)
+        ok = (after < len(b)) & (b[np.minimum(after, len(b) - 1)] - a <= r)
+        ok |= (after > 0) & (a - b[np.maximum(after - 1, 0)] <= r)
+        out.append(a[ok])
+    return pa.array(out, _LIST)
+
+
+def _close(lists: pa.Array, reach: pa.Array) -> pa.Array:
+    """Ends of spans of at most reach + 1 words that have a place of each list."""
+    out = []
+    for row, r in zip(lists, reach.to_pylist(), strict=True):
+        each = [x.values.to_numpy() for x in row]
+        ends = np.unique(np.concatenate(each))
+        begin = ends.copy()
+        for one in each:
+            at = np.searchsorted(one, ends, "right") - 1
+            begin = np.minimum(begin, np.where(at >= 0, one[np.maximum(at, 0)], ends - r - 1))
+        out.append(ends[ends - begin <= r])
+    return pa.array(out, _LIST)
+
+
+def match_near(ordered: DataFrame, lists: DataFrame, slots: int = 1, slack: int = SLACK) -> DataFrame:
+    """window, chunk, place of the last word, where all words of a window lie within length + slack words in any order.
+
+    A word that the window has twice may occur once. Exact occurrences are such places too.
     """
-    term, order, bounds = index
-    freq = np.diff(bounds)
-    n_terms = np.where(w.body >= 0, freq[w.body], np.iinfo(np.int64).max)
-    live = np.flatnonzero((n_terms > 0).all(1))
-    by_rarity = np.argsort(n_terms[live], axis=1, kind="stable")
-    rarest = w.body[live, by_rarity[:, 0]]
-    which, at = _expand(bounds[rarest], freq[rarest])
-    place = order[at]
-    span = len(term) + 1
-    key = np.repeat(np.arange(len(freq)), freq) * span + order
-    reach = w.length[live] + slack - 1
-    row_first = np.searchsorted(row_of, row_of, "left")
-    row_last = np.searchsorted(row_of, row_of, "right") - 1
-    for step in range(1, w.body.shape[1]):
-        wanted = w.body[live[which], by_rarity[which, step]]
-        low = np.maximum(place - reach[which], row_first[place])
-        high = np.minimum(place + reach[which], row_last[place])
-        found = np.searchsorted(key, wanted * span + low)
-        hit = key[np.minimum(found, len(key) - 1)] if len(key) else found
-        ok = (wanted < 0) | ((found < len(key)) & (hit >= wanted * span + low) & (hit <= wanted * span + high))
-        which, place = which[ok], place[ok]
-    return live[which], place
-
-
-_HITS = "struct<n_words:bigint,spans:array<struct<first:bigint,last:bigint>>,items:array<string>,near_items:array<string>>"
-
-
-def _merged(first: np.ndarray, last: np.ndarray) -> list[dict]:
-    """Union of stretches (both ends included), as disjoint stretches in order."""
-    order = np.argsort(first, kind="stable")
-    first, top = first[order], np.maximum.accumulate(last[order])
-    new = np.concatenate([[True], first[1:] > top[:-1] + 1])
-    ends = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(first) - 1]])
-    return [{"first": int(a), "last": int(b)} for a, b in zip(first[new], top[ends], strict=True)]
-
-
-def _matcher(shared, near: bool):
-    def run(texts: pa.Array) -> pa.Array:
-        w = shared.value
-        out = []
-        for _, hashes, bounds in words(texts):
-            rows = len(bounds) - 1
-            part = [{"n_words": int(n), "spans": [], "items": [], "near_items": []} for n in np.diff(bounds)]
-            if len(hashes) and len(w.terms):
-                row_of = np.repeat(np.arange(rows), np.diff(bounds))
-                index = _postings(hashes, w.terms)
-                found, start = match_exact(index, row_of, w)
-                _collect(part, "items", w, found, row_of[start])
-                order = np.argsort(row_of[start], kind="stable")
-                found, start = found[order], start[order]
-                cuts = np.flatnonzero(np.diff(row_of[start])) + 1
-                for f, s in zip(np.split(found, cuts), np.split(start, cuts), strict=True):
-                    if len(s):
-                        row = row_of[s[0]]
-                        part[row]["spans"] = _merged(s - bounds[row], s + w.length[f] - 1 - bounds[row])
-                if near:
-                    found, place = match_near(index, row_of, w)
-                    _collect(part, "near_items", w, found, row_of[place])
-            out.extend(part)
-        return pa.array(out, _hits_type())
-
-    return run
-
-
-def _hits_type() -> pa.DataType:
-    span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
-    return pa.struct([("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
-
-
-def _collect(part: list[dict], name: str, w: Windows, found: np.ndarray, rows: np.ndarray) -> None:
-    """Note the items of the windows found in each row."""
-    pairs = np.unique(np.stack([rows, found]), axis=1) if len(rows) else np.zeros((2, 0), np.int64)
-    count = np.diff(w.item_bounds)[pairs[1]]
-    which, at = _expand(w.item_bounds[pairs[1]], count)
-    both = np.unique(np.stack([pairs[0][which], w.items[at]]), axis=1)
-    for row, item in both.T:
-        part[row][name].append(w.names[item])
+    distinct = F.filter("steps", lambda s, i: (i == 0) | ~F.exists(F.slice("steps", F.lit(1), i), lambda e: e["term"] == s["term"]))
+    ordered = ordered.withColumn("steps", distinct)
+    begun = _begun(ordered, lists, slots).withColumn("reach", F.col("length") + F.lit(slack - 1))
+    single = begun.where(F.size("steps") == 1)
+    both = _second(begun, ordered, lists, 1).withColumn("near", F.arrow_udf(_beside, "array<long>")("places", "other", "reach")).where(F.size("near") > 0)
+    both = write_table(both.select("window", "chunk", "reach", "steps", F.col("near").alias("places"), "other").withColumn("pair", F.xxhash64("window", "chunk")), "near_words")
+    own = both.select("pair", F.explode(F.array("places", "other")).alias("list"))
+    rest = _rest(both, lists, "pair").select("pair", F.col("other").alias("list"))
+    groups = own.unionByName(rest).groupBy("pair").agg(F.collect_list("list").alias("found"))
+    groups = groups.join(both.select("pair", "window", "chunk", "reach", "steps"), "pair").where(F.size("found") == F.size("steps"))
+    ends = F.arrow_udf(_close, "array<long>")("found", "reach")
+    columns = ["window", "chunk", "place"]
+    found = groups.select("window", "chunk", F.explode(ends).alias("place"))
+    return single.select("window", "chunk", F.explode("places").alias("place")).unionByName(found).select(columns)
+
+
+def _in_documents(found: DataFrame, headers: DataFrame) -> DataFrame:
+    """Add number (the document's) and first (the word's number in it) to places of chunks."""
+    placed = found.join(headers.select("chunk", "numbers"), "chunk")
+    row, first = F.shiftright("place", 32).cast("int"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))
+    return placed.withColumn("number", F.col("numbers")[row]).withColumn("first", first).drop("numbers", "chunk", "place")
+
+
+def _items_of(found: DataFrame, windows: DataFrame, name: str) -> DataFrame:
+    """Items of the windows found in each document, as strings in ascending order, each once."""
+    pairs = found.select("number", "window").distinct().join(windows.select("window", "item"), "window")
+    return pairs.select("number", "item").distinct().groupBy("number").agg(F.array_sort(F.collect_list("item")).alias(name))
+
+
+def _spans_of(found: DataFrame) -> DataFrame:
+    """Union of each document's stretches of words, as disjoint stretches in order."""
+    ends = found.groupBy("number", "first").agg(F.max(F.col("first") + F.col("length") - 1).alias("last"))
+    order = W.partitionBy("number").orderBy("first")
+    top = F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1))
+    new = F.when(F.col("first") > F.coalesce(top, F.lit(-2)) + 1, 1).otherwise(0)
+    runs = ends.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    spans = runs.groupBy("number", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return spans.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
 def phrase_matches(df: DataFrame, items: DataFrame, id: str = "item_id", text: str = "text", item_text: str = "text", near: bool = True, window: int = WINDOW) -> DataFrame:
@@ -194,77 +219,35 @@ def phrase_matches(df: DataFrame, items: DataFrame, id: str = "item_id", text: s
 
     spans are the stretches of words (numbered from 0, both ends) inside an exact occurrence of a window of any item;
     items are the ids (as strings, in ascending order, each once) of items that have one, near_items of those whose
-    window has all its words close together in any order (see ``match_near``). Null texts and texts without a word
-    have no words and no matches; such items have no windows. An item id that is null counts as an item named "null";
-    repeated items count once. An empty table on either side gives no matches. ``df`` may have any other columns,
-    ``phrase_hits`` alone is replaced.
-    """
-    spark = df.sparkSession
-    ship_package(spark)
-    size = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
-    passes = int(size // MAX_BYTES) + 1
-    part = F.pmod(F.xxhash64(F.col(id).cast("string"), item_text), F.lit(passes))
-    named = items.select(F.coalesce(F.col(id).cast("string"), F.lit("null")).alias("id"), F.col(item_text).alias("text"), part.alias("part"))
-    before = [c for c in df.columns if c != "phrase_hits"]
-    for k in range(passes):
-        rows = named.where(F.col("part") == k).select("id", "text").distinct().orderBy("id", "text").collect()
-        w = windows_of([r["id"] for r in rows], [r["text"] for r in rows], window)
-        shared = spark.sparkContext.broadcast(w)
-        hit = F.arrow_udf(_matcher(shared, near), _HITS)(text)
-        df = df.withColumn("phrase_part", hit)
-        named_items = {c: F.array_distinct(f"phrase_part.{c}") for c in ("items", "near_items")}
-        one = F.struct(F.col("phrase_part.n_words").alias("n_words"), F.col("phrase_part.spans").alias("spans"), *[F.array_sort(v).alias(c) for c, v in named_items.items()])
-        if k:
-            old = F.col("phrase_hits")
-            one = F.struct(
-                one["n_words"].alias("n_words"),
-                F.concat(old["spans"], one["spans"]).alias("spans"),
-                *[F.array_sort(F.array_union(old[c], one[c])).alias(c) for c in ("items", "near_items")],
-            )
-        df = df.select(*before, one.alias("phrase_hits"))
-        if passes > 1:
-            df = write_table(df, "phrases")
-    return df
-
-
-def hit_words(spans: str = "phrase_hits.spans"):
-    """Number of words inside the spans; spans of several passes may overlap."""
-    ordered = F.array_sort(F.col(spans))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("end"))
-
-    def step(acc, x):
-        low = F.greatest(x["first"], acc["end"] + 1)
-        return F.struct((acc["n"] + F.greatest(x["last"] - low + 1, F.lit(0))).cast("long").alias("n"), F.greatest(acc["end"], x["last"]).alias("end"))
-
-    return F.aggregate(ordered, start, step)["n"]
-
-
-def positional_index(df: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_text: str = "text") -> DataFrame:
-    """The index as a table: term (word hash), id, positions (ascending, from 0), for the terms of ``items``.
-
-    Rows with a null text or without such a term are absent; repeated rows give repeated postings.
+    window has all its words close together in any order (see ``match_near``; empty without ``near``). Null texts and
+    texts without a word have no words and no matches; such items have no windows. An item id that is null counts as an
+    item named "null"; repeated items count once, repeated rows of ``df`` each have their hits. An empty table on either
+    side gives no matches. ``df`` may have any other columns, ``phrase_hits`` alone is replaced.
     """
-    spark = df.sparkSession
-    ship_package(spark)
-
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, hashes, _ in words(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes).view(np.int64))], ["term"])
-
-    def positions(texts: pa.Array) -> pa.Array:
-        out = []
-        for _, hashes, bounds in words(texts):
-            for i in range(len(bounds) - 1):
-                own = hashes[bounds[i] : bounds[i + 1]]
-                order = np.argsort(own, kind="stable")
-                cuts = np.flatnonzero(np.diff(own[order])) + 1
-                out.append([{"term": int(own[p[0]].view(np.int64)), "positions": p} for p in np.split(order, cuts) if len(p)])
-        return pa.array(out, pa.list_(pa.struct([("term", pa.int64()), ("positions", pa.list_(pa.int64()))])))
-
-    wanted = items.select(item_text).mapInArrow(terms, "term long").distinct()
-    postings = F.explode(F.arrow_udf(positions, "array<struct<term:bigint,positions:array<bigint>>>")(text))
-    return df.select(F.col(id), postings.alias("p")).select("p.term", id, "p.positions").join(wanted, "term", "left_semi")
+    kept = [c for c in df.columns if c != "phrase_hits"]
+    numbered = write_table(df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.monotonically_increasing_id().alias("number")), "numbered")
+    index = positional_index(numbered, "number", f"row.{text}")
+    headers, lists = index.where("numbers is not null"), index.where("term is not null").select("term", "chunk", "places")
+    windows = write_table(windows_of(items, id, item_text, window), "items")
+    asked = windows.select(F.explode("terms").alias("term")).distinct()
+    ordered, slots = _ordered_windows(windows, lists.join(asked, "term", "left_semi"))
+    exact = write_table(_in_documents(match_exact(ordered, lists, slots), headers), "exact")
+    counts = headers.select(F.explode(F.arrays_zip("numbers", F.col("places").alias("n_words"))).alias("d")).select("d.numbers", "d.n_words")
+    hits = counts.withColumnRenamed("numbers", "number").join(_spans_of(exact), "number", "left").join(_items_of(exact, windows, "items"), "number", "left")
+    if near:
+        hits = hits.join(_items_of(_in_documents(match_near(ordered, lists, slots), headers), windows, "near_items"), "number", "left")
+    none = F.array().cast("array<string>")
+    near_items = F.coalesce("near_items", none) if near else none
+    spans = F.coalesce("spans", F.array().cast("array<struct<first:bigint,last:bigint>>"))
+    packed = F.struct("n_words", spans.alias("spans"), F.coalesce("items", none).alias("items"), near_items.alias("near_items"))
+    hits = write_table(hits.select("number", packed.alias("phrase_hits")), "hits")
+    drop_tables(index, exact, ordered, windows)
+    return numbered.join(hits, "number").select("row.*", "phrase_hits")
+
+
+def hit_words(spans: str = "phrase_hits.spans") -> Column:
+    """Number of words inside the spans, which are disjoint."""
+    return F.aggregate(F.col(spans), F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"] + 1)
 
 
 def item_digest(ids: list[str]) -> str:

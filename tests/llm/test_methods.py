@@ -10,7 +10,7 @@ import pytest
 import compare
 import __spark_entry__ as entry
 from llm.conftest import EN, rows_of
-from swathbook.llm import components, near_documents, near_lines, phrases, sharding, token_counts, words
+from swathbook.llm import components, near_documents, near_lines, sharding, token_counts, words
 from swathbook.llm.queries import ORACLE, QUERIES, VOCABULARY
 
 
@@ -137,16 +137,6 @@ def test_unknown_runs_without_byte_pieces():
     assert [counter.count(t) for t in ("a", "aa", "xyz", "xaxx")] == [2, 2, 2, 4]  # of equal scores the longest last piece
 
 
-def test_proximity_and_index(spark, docs):
-    df = docs(rows_of(["x one two y three four five", "five four three two one", "one two three four five", "one two three"]))
-    items = spark.createDataFrame([(7, "one two three four five")], "item_id long, text string")
-    got = {r["doc_id"]: r["phrase_hits"] for r in phrases.phrase_matches(df, items).collect()}
-    assert [got[i]["items"] for i in range(4)] == [[], [], ["7"], []]
-    assert [got[i]["near_items"] for i in range(4)] == [["7"], ["7"], ["7"], []]
-    index = phrases.positional_index(df, items).where("doc_id = 0").collect()
-    assert sorted(r["positions"] for r in index) == [[1], [2], [4], [5], [6]]
-
-
 def test_hilbert_curve_steps_to_neighbours():
     for dimensions, bits in ((2, 3), (3, 2), (3, 4)):
         table = {index: cell for cell, index in sharding.curve(dimensions, bits)}
