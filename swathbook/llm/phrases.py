@@ -2,13 +2,13 @@
 
 The index is a table of postings: for each word of each chunk of documents (about 1 MiB of text, whole documents) the
 ascending list of its places. A place is row << 32 | word number, where row counts the documents of the chunk; a header
-row of each chunk has the documents' numbers and words. The benchmark's windows are a table too. Word counts over the
-whole index put the words of each window in order. The lists of a window's rarest word are joined first, each place
+row of each chunk has the documents' numbers and words. The benchmark's windows are a table too; the lists of its words
+are taken out of the index once. Word counts over all documents put the words of each window in order. The lists of a window's rarest word are joined first, each place
 moved back by the word's offset; they are intersected with the lists of its second word in the same chunk, and the few
 that are left with the lists of all its other words. For proximity matches the lists need not be equal after the move:
 all words have to lie within a span of the window's length and SLACK words more, in any order.
 
-Nothing is collected or broadcast by this module; the joins are on word and chunk. A word that is in very many chunks is
+This module collects and broadcasts nothing by itself; the joins are on word and chunk. A word that is in very many chunks is
 dealt to slots. Matches of a document depend on its words and the benchmark alone, however the documents lie in chunks.
 """
 
@@ -227,10 +227,12 @@ def phrase_matches(df: DataFrame, items: DataFrame, id: str = "item_id", text: s
     kept = [c for c in df.columns if c != "phrase_hits"]
     numbered = write_table(df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.monotonically_increasing_id().alias("number")), "numbered")
     index = positional_index(numbered, "number", f"row.{text}")
-    headers, lists = index.where("numbers is not null"), index.where("term is not null").select("term", "chunk", "places")
     windows = write_table(windows_of(items, id, item_text, window), "items")
-    asked = windows.select(F.explode("terms").alias("term")).distinct()
-    ordered, slots = _ordered_windows(windows, lists.join(asked, "term", "left_semi"))
+    asked = write_table(windows.select(F.explode("terms").alias("term")).distinct(), "terms")
+    headers = write_table(index.where("numbers is not null"), "headers")
+    lists = write_table(index.where("term is not null").join(asked, "term", "left_semi").select("term", "chunk", "places"), "lists")
+    drop_tables(index)
+    ordered, slots = _ordered_windows(windows, lists)
     exact = write_table(_in_documents(match_exact(ordered, lists, slots), headers), "exact")
     counts = headers.select(F.explode(F.arrays_zip("numbers", F.col("places").alias("n_words"))).alias("d")).select("d.numbers", "d.n_words")
     hits = counts.withColumnRenamed("numbers", "number").join(_spans_of(exact), "number", "left").join(_items_of(exact, windows, "items"), "number", "left")
@@ -241,7 +243,7 @@ def phrase_matches(df: DataFrame, items: DataFrame, id: str = "item_id", text: s
     spans = F.coalesce("spans", F.array().cast("array<struct<first:bigint,last:bigint>>"))
     packed = F.struct("n_words", spans.alias("spans"), F.coalesce("items", none).alias("items"), near_items.alias("near_items"))
     hits = write_table(hits.select("number", packed.alias("phrase_hits")), "hits")
-    drop_tables(index, exact, ordered, windows)
+    drop_tables(headers, lists, exact, ordered, asked, windows)
     return numbered.join(hits, "number").select("row.*", "phrase_hits")
 
 

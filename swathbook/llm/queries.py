@@ -55,7 +55,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside benchmark windows, and the items they come from."""
-    found = phrase_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = phrase_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), near=False)
     return found.select("doc_id", "phrase_hits", hit_words().alias("n_hit")).select(
         "doc_id",
         F.col("phrase_hits.n_words").alias("n_words"),
