@@ -121,9 +121,12 @@ def _second(begun: DataFrame, ordered: DataFrame, lists: DataFrame, at: int) ->
     return begun.where(F.size("steps") > at).withColumn("term", F.col("steps")[at]["term"]).join(other, ["term", "chunk"]).drop("term")
 
 
-def _rest(left: DataFrame, lists: DataFrame, key: str) -> DataFrame:
-    """For each row of ``left`` (of fewer rows than lists), its later steps with their lists: key, step, other."""
-    later = left.select(key, "chunk", F.explode(F.slice("steps", F.lit(3), F.greatest(F.size("steps") - 2, F.lit(0)))).alias("step"))
+def _rest(left: DataFrame, lists: DataFrame, *kept: str) -> DataFrame:
+    """For each row of ``left``, its later steps with their lists: the kept columns, step, other.
+
+    The row's own places are kept, so that the long list of a frequent word is cut to what is near them where it is joined.
+    """
+    later = left.select(*kept, "chunk", F.explode(F.slice("steps", F.lit(3), F.greatest(F.size("steps") - 2, F.lit(0)))).alias("step"))
     return later.withColumn("term", F.col("step")["term"]).join(lists.select("term", "chunk", F.col("places").alias("other")), ["term", "chunk"])
 
 
@@ -134,10 +137,10 @@ def match_exact(ordered: DataFrame, lists: DataFrame, slots: int = 1) -> DataFra
     both = _second(begun, ordered, lists, 1)
     both = both.withColumn("places", F.array_intersect("places", _moved("other", F.col("steps")[1]["offset"]))).drop("other")
     both = write_table(both.where(F.size("places") > 0), "pairs_of_words")
-    longer = both.where("length > 2").withColumn("pair", F.xxhash64("window", "chunk"))
+    longer = both.where("length > 2")
     place = F.explode(F.array_intersect("places", _moved("other", F.col("step")["offset"])))
-    each = _rest(longer, lists, "pair").join(longer.select("pair", "places"), "pair").select("pair", place.alias("place"))
-    whole = each.groupBy("pair", "place").agg(F.count(F.lit(1)).alias("met")).join(longer.select("pair", "window", "chunk", "length"), "pair").where("met = length - 2")
+    each = _rest(longer, lists, "window", "length", "places").select("window", "length", "chunk", place.alias("place"))
+    whole = each.groupBy("window", "length", "chunk", "place").agg(F.count(F.lit(1)).alias("met")).where("met = length - 2")
     columns = ["window", "length", "chunk", "place"]
     short = single.unionByName(both.where("length = 2")).select("window", "length", "chunk", F.explode("places").alias("place"))
     return short.select(columns).unionByName(whole.select(columns))
@@ -160,6 +163,9 @@ def _close(lists: pa.Array, reach: pa.Array) -> pa.Array:
     out = []
     for row, r in zip(lists, reach.to_pylist(), strict=True):
         each = [x.values.to_numpy() for x in row]
+        if not all(map(len, each)):
+            out.append(each[0][:0])
+            continue
         ends = np.unique(np.concatenate(each))
         begin = ends.copy()
         for one in each:
@@ -180,8 +186,9 @@ def match_near(ordered: DataFrame, lists: DataFrame, slots: int = 1, slack: int
     single = begun.where(F.size("steps") == 1)
     both = _second(begun, ordered, lists, 1).withColumn("near", F.arrow_udf(_beside, "array<long>")("places", "other", "reach")).where(F.size("near") > 0)
     both = write_table(both.select("window", "chunk", "reach", "steps", F.col("near").alias("places"), "other").withColumn("pair", F.xxhash64("window", "chunk")), "near_words")
-    own = both.select("pair", F.explode(F.array("places", "other")).alias("list"))
-    rest = _rest(both, lists, "pair").select("pair", F.col("other").alias("list"))
+    beside = F.arrow_udf(_beside, "array<long>")("other", "places", "reach")
+    own = both.select("pair", F.col("places").alias("list")).unionByName(both.select("pair", beside.alias("list")))
+    rest = _rest(both, lists, "pair", "places", "reach").select("pair", beside.alias("list"))
     groups = own.unionByName(rest).groupBy("pair").agg(F.collect_list("list").alias("found"))
     groups = groups.join(both.select("pair", "window", "chunk", "reach", "steps"), "pair").where(F.size("found") == F.size("steps"))
     ends = F.arrow_udf(_close, "array<long>")("found", "reach")
