@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from swathbook.llm.shared import drop_tables, shuffles_for, write_table
 
+#: Where finer buckets are at hand, star rounds go on while one in so many tries makes a link.
+USEFUL = 10
+
 
 def _digest(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -53,13 +56,33 @@ def crowded(bands: DataFrame) -> DataFrame:
     return write_table(bands.join(many, "key").select("node", "key"), "buckets")
 
 
+def able(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (node, key, weight, reach) that may make a pair in their key, written once.
+
+    A row goes if no row of its key is as light as its reach or reaches its weight, and a key if all its nodes have one
+    root. Both are told from one aggregate by key, so that no pair is made for it.
+    """
+    rooted = write_table(buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "weighed")
+    for _ in range(2):
+        keys = rooted.groupBy("key").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.min("weight").alias("lightest"), F.max("reach").alias("furthest")
+        )
+        kept = rooted.join(keys.where("low < high"), "key").where("lightest <= reach and weight <= furthest")
+        superseded, rooted = rooted, write_table(kept.select("node", "key", "weight", "reach", "root"), "weighed")
+        drop_tables(superseded)
+    return rooted
+
+
 def unlike(buckets: DataFrame) -> DataFrame:
-    """Rows (node, key) without the keys whose nodes are those of a smaller key: they would make the same pairs again."""
+    """Rows (node, key, weight, reach) without the keys whose nodes are those of another key: they would make the same pairs again.
+
+    Of such keys the one of the largest reach stays; it comes first in all its nodes, and so reaches furthest in each.
+    """
     sets = buckets.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t"), F.max("reach").alias("reach")
     )
-    kept = sets.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key")
-    found = write_table(buckets.join(kept, "key").select("node", "key"), "buckets")
+    kept = sets.groupBy("n", "s", "t").agg(F.max_by("key", F.struct("reach", "key")).alias("key")).select("key")
+    found = write_table(buckets.join(kept, "key").select("node", "key", "weight", "reach"), "buckets")
     drop_tables(buckets)
     return found
 
@@ -73,47 +96,58 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], refine:
     that still share a bucket with another component, and returns finer buckets (node, key) that hold every pair
     that can hold; star rounds go on in these. What is then still apart is tried pair by pair, only across
     components, so that the components are the same as if all pairs had been tried.
+
+    Finer buckets may have the columns weight and reach: a pair that can hold shares a key where each node's weight is at
+    most the other's reach, and is tried in no other key. Such buckets have their star rounds from the node with the
+    largest reach for its weight. With ``refine``, star rounds also end when fewer than one in USEFUL tries makes a link.
     """
     none = buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
     roots = buckets.select("node", F.col("node").alias("root")).where("false")
-    roots, tried, held = _stars(buckets, verify, roots, none)
+    useful = 0 if refine is None else USEFUL
+    roots, tried, held = _stars(_always(buckets), verify, roots, none, useful)
     if refine is not None:
         nodes = write_table(held.select("node").distinct(), "apart")
-        finer = unlike(crowded(refine(nodes)))
+        finer = unlike(able(_always(refine(nodes)), roots))
         drop_tables(held, nodes)
-        roots, tried, held = _stars(finer, verify, roots, tried)
+        roots, tried, held = _stars(finer, verify, roots, tried, useful)
         drop_tables(finer)
     with shuffles_for(held.sparkSession, held.count()):
-        one = held.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-        two = held.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
-        pairs = one.join(two, "key").where("ra <> rb and a > b").select("a", "b").distinct()
+        side = lambda node, root, weight, reach: held.select("key", F.col("node").alias(node), F.col("root").alias(root), F.col("weight").alias(weight), F.col("reach").alias(reach))
+        one, two = side("a", "ra", "wa", "pa"), side("b", "rb", "wb", "pb")
+        pairs = one.join(two, "key").where("ra <> rb and a > b and wa <= pb and wb <= pa").select("a", "b").distinct()
         pairs = write_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
     _, found = _try(pairs, roots, verify)
     drop_tables(held, tried, pairs)
     return found
 
 
+def _always(buckets: DataFrame) -> DataFrame:
+    """Buckets with the columns weight and reach; without them, any two nodes of a key may hold."""
+    return buckets if "reach" in buckets.columns else buckets.withColumn("weight", F.lit(1.0)).withColumn("reach", F.lit(1.0))
+
+
 def _stars(
-    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], roots: DataFrame, tried: DataFrame
+    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], roots: DataFrame, tried: DataFrame, useful: int = 0
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Star rounds: the roots and tried pairs after them, and the rows (node, key, root) of buckets still apart."""
+    """Star rounds: the roots and tried pairs after them, and the rows (node, key, root, weight, reach) of buckets still apart."""
     rows, limit = buckets.agg(F.count(F.lit(1)), F.count_distinct("node")).first()
     turn, found, held = 0, 1, None
     while True:
         with shuffles_for(buckets.sparkSession, rows):
             rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-            superseded, held = held, write_table(rooted.join(open_keys, "key").select("node", "key", "root"), "open")
+            superseded, held = held, write_table(rooted.join(open_keys, "key").select("node", "key", "root", "weight", "reach"), "open")
             drop_tables(superseded)
             by_root = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
             by_key = by_root.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"))
             if not found or (by_key.agg(F.sum("cross")).first()[0] or 0) <= limit:
                 return roots, tried, held
-            order = F.col("node") if turn < 2 else F.xxhash64("node", F.lit(turn))
-            pivots = held.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "root")).alias("p"))
-            pivots = pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
-            spokes = held.join(pivots, "key").where("root <> pivot_root")
-            pairs = spokes.groupBy("node").agg(F.min("pivot").alias("pivot")) if turn == 0 else spokes.select("node", "pivot")
+            order = F.struct((F.col("weight") / F.col("reach")).alias("far"), "node") if turn < 2 else F.struct(F.xxhash64("node", F.lit(turn)).alias("far"), "node")
+            pivots = held.groupBy("key").agg(F.min(F.struct(order.alias("o"), "root", "weight", "reach")).alias("p"))
+            spokes = held.join(pivots, "key").where("root <> p.root and weight <= p.reach and p.weight <= reach").select("node", "p.o")
+            if turn == 0:
+                spokes = spokes.groupBy("node").agg(F.min("o").alias("o"))
+            pairs = spokes.select("node", F.col("o.node").alias("pivot"))
             pairs = pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
             pairs = write_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
             earlier, tried = tried, write_table(tried.unionByName(pairs), "tried")
@@ -122,6 +156,8 @@ def _stars(
         found, roots = _try(pairs, roots, verify)
         if found:
             drop_tables(before)
+        if turn and found * useful < pairs.count():
+            found = 0 if useful else found
         drop_tables(pairs)
         found = found or turn == 0
         turn += 1

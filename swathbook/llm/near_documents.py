@@ -4,7 +4,8 @@ Method. A document's words (five in a row make a shingle) weigh tf * idf. Each o
 shingle such that two documents agree with a probability equal to their weighted Jaccard similarity. Bands of samples
 are bucket keys; pairs that share a bucket are verified by the exact weighted Jaccard similarity of their whole texts,
 and verified pairs are joined by a distributed union-find. Buckets whose members are not linked by trying them against
-one of them are refined: by the rarest shingles of their documents, of which similar documents share one.
+one of them are refined: by the rarest shingles of their documents, of which similar documents share one. What a document
+has left from that shingle on bounds what it can share, which rules out most pairs of a family before they are made.
 
 Document frequencies of all shingles are counted. Distinct texts are packed in batches; a batch counts its own shingles
 and sends them, cut in bins by hash, to where a bin's counts are summed; the sums go back to the batches that asked. A
@@ -260,10 +261,23 @@ def prefix(values: np.ndarray, weights: np.ndarray, df: np.ndarray, threshold: f
     Two documents of a weighted Jaccard similarity of ``threshold`` or more share at least one of them: what they have in
     common weighs ``threshold`` of each or more, and cannot lie in the rest of the one whose prefix ends first.
     """
+    return reaches(values, weights, df, threshold)[0]
+
+
+def reaches(values: np.ndarray, weights: np.ndarray, df: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """The prefix, the reach of each of its shingles, and the weight of the document.
+
+    Two similar documents have (1 + threshold) / threshold times the weight of what they share, or less, together. At
+    the rarest shingle they share, all of that lies in this shingle and the more frequent ones of either. So there the
+    weight of one is at most the other's reach: that multiple of what is left of it from the shingle on, less its weight.
+    """
     order = np.lexsort((values, df))
-    rest = weights.sum() - np.cumsum(weights[order])
-    # a small margin for rounding can only make the prefix longer
-    return values[order[: int((rest >= threshold * weights.sum() * (1 - 1e-9)).sum()) + 1]]
+    whole = weights.sum()
+    rest = whole - np.cumsum(weights[order])
+    # a small margin for rounding can only make the prefix and the reach longer
+    size = int((rest >= threshold * whole * (1 - 1e-9)).sum()) + 1
+    left = np.concatenate([[whole], rest[: size - 1]])[: len(order)]
+    return values[order[:size]], (1 + threshold) / threshold * left * (1 + 1e-9) - whole, float(whole)
 
 
 def _release(spark: SparkSession) -> None:
@@ -352,12 +366,14 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(i, prefix(v, w, np.frombuffer(batch.column("levels")[i].as_buffer(), np.uint32), threshold)) for i, v, w in weighed(batch)]
-            node = batch.column("node").to_numpy()[[i for i, _ in found]]
-            keys = np.concatenate([k for _, k in found] or [np.zeros(0, np.uint64)])
-            yield pa.RecordBatch.from_pydict({"node": pa.array(np.repeat(node, [len(k) for _, k in found]), pa.int64()), "key": pa.array(keys.view(np.int64))})
-
-    roots = linked(buckets, verify, lambda apart: whole.join(apart, "node", "left_semi").select("node", "text", "levels").mapInArrow(prefixes, "node long, key long"))
+            nodes, parts = batch.column("node").to_numpy(), []
+            for i, v, w in weighed(batch):
+                keys, reach, weight = reaches(v, w, np.frombuffer(batch.column("levels")[i].as_buffer(), np.uint32), threshold)
+                parts.append((np.full(len(keys), nodes[i]), keys.view(np.int64), np.full(len(keys), weight), reach))
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(column)) for column in zip(*parts)], ["node", "key", "weight", "reach"])
+
+    roots = linked(buckets, verify, lambda apart: whole.join(apart, "node", "left_semi").select("node", "text", "levels").mapInArrow(prefixes, "node long, key long, weight double, reach double"))
     drop_tables(whole, buckets)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = nodes.select(F.col("node").alias("root"), F.col("id").alias("class_id"), F.col("text_key").alias("class_key"))

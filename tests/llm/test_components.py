@@ -78,3 +78,49 @@ def test_prefix():
             p, q = (N.prefix(v, weigh(v), df_of[v], 0.8) for v in (one, two))
             assert np.intersect1d(p, q).size and p.size < one.size * 0.8 + 2
     assert checked > 300
+
+
+def test_reaches():
+    """At the rarest shingle that two documents at the threshold or above share, each reaches the other's weight."""
+    rng = np.random.default_rng(1)
+    df_of = rng.integers(1, 9, 400).astype(np.uint32)
+    weigh = lambda v: 1.0 + 3.0 / df_of[v]
+    checked = 0
+    for _ in range(3000):
+        one = np.sort(rng.choice(400, rng.integers(1, 60), False))
+        two = np.sort(np.unique(np.concatenate([rng.choice(one, max(1, int(len(one) * rng.uniform(0.7, 1.0))), False), rng.choice(400, rng.integers(0, 6))])))
+        one, two = one.astype(np.uint64), two.astype(np.uint64)
+        if N._jaccard(one, weigh(one), two, weigh(two)) >= 0.8:
+            checked += 1
+            (p, pr, pw), (q, qr, qw) = (N.reaches(v, weigh(v), df_of[v], 0.8) for v in (one, two))
+            first = next(k for k in p if k in q)
+            assert qw <= pr[list(p).index(first)] and pw <= qr[list(q).index(first)]
+    assert checked > 500
+
+
+def test_family_of_texts_below_the_threshold(spark):
+    """Copies of a text that are too unlike it and each other make few pairs, and the classes are those of all pairs."""
+    rng = np.random.default_rng(2)
+    members = {0: np.arange(100)}
+    for n in range(1, 250):
+        kept = rng.choice(100, 96 if n % 10 == 0 else rng.integers(80, 88), False)
+        members[n] = np.concatenate([kept, 1000 + 100 * n + np.arange(100 - len(kept))])
+    values, counts = np.unique(np.concatenate(list(members.values())), return_counts=True)
+    df = dict(zip(values.tolist(), counts.tolist()))
+    holds = lambda a, b: len(np.intersect1d(members[a], members[b])) >= 0.8 * len(np.union1d(members[a], members[b]))
+    rows = []
+    for n, own in members.items():
+        keys, reach, weight = N.reaches(own.astype(np.uint64), np.ones(len(own)), np.array([df[int(v)] for v in own], np.uint32), 0.8)
+        rows += [(n, int(k), weight, float(r)) for k, r in zip(keys, reach)]
+    finer = spark.createDataFrame(rows, "node long, key long, weight double, reach double")
+    tried = []
+
+    def verify(pairs):
+        tried.extend((r["a"], r["b"]) for r in pairs.collect())
+        return spark.createDataFrame([(a, b) for a, b in set(tried) if holds(a, b)], "a long, b long")
+
+    buckets = spark.createDataFrame([(n, 1) for n in members], "node long, key long")
+    got = {r["node"]: r["root"] for r in linked(buckets, verify, lambda apart: finer.join(apart, "node", "left_semi")).collect()}
+    want = brute(members, [(a, b) for a in members for b in members if a > b and holds(a, b)])
+    assert {n: got.get(n, n) for n in members} == want
+    assert len(tried) < 5 * len(members)  # all pairs are some 31,000
