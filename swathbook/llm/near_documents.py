@@ -14,7 +14,6 @@ shingle that all batches have is one entry of each, so no key grows with its fre
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,11 +21,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swathbook.llm.components import crowded, linked
-from swathbook.llm.shared import drop_tables, ship_package, write_table
+from swathbook.llm.shared import drop_tables, release, ship_package, write_table
 from swathbook.llm.words import mix64, shingles, words
 
 WIDTH = 5
@@ -280,12 +279,6 @@ def reaches(values: np.ndarray, weights: np.ndarray, df: np.ndarray, threshold:
     return values[order[:size]], (1 + threshold) / threshold * left * (1 + 1e-9) - whole, float(whole)
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are written and not referred to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, spread: float | None = None) -> DataFrame:
     """One row for each row of ``df``: id, text_key (hash of the text), class_id, class_key, class_rows.
 
@@ -332,12 +325,12 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
     answers = asked.groupBy("bin").applyInArrow(_answered(n, spread), "batch long, shingles binary, df binary")
     answers = write_table(answers, "answers")
     del asked
-    _release(spark)
+    release(spark)
     signed = packed.groupBy("batch").cogroup(answers.groupBy("batch"))
     signed = write_table(signed.applyInArrow(_signed(n, spread), "node long, bands array<long>, levels binary"), "signed")
     drop_tables(answers, packed, heads)
     del answers, packed
-    _release(spark)
+    release(spark)
     buckets = crowded(signed.select("node", F.explode("bands").alias("key")))
 
     wanted = write_table(nodes.select("node", "text_key").join(buckets.select("node").distinct(), "node", "left_semi"), "wanted")

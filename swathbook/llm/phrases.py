@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from swathbook.llm.shared import drop_tables, ship_package, write_table
+from swathbook.llm.shared import drop_tables, release, ship_package, write_table
 from swathbook.llm.words import words
 
 #: Words of a window; an item of fewer words, but not none, is one window.
@@ -32,6 +32,8 @@ WINDOW = 10
 SLACK = 3
 #: Lists of one word that a join task takes before the word is dealt to more slots.
 LISTS_PER_SLOT = 100_000
+#: Places up to which a list is searched for each of them.
+FEW = 16
 
 _LIST = pa.list_(pa.int64())
 
@@ -103,11 +105,11 @@ def _ordered_windows(windows: DataFrame, lists: DataFrame) -> tuple[DataFrame, i
     return ordered, int(most // LISTS_PER_SLOT) + 1
 
 
-def _begun(ordered: DataFrame, lists: DataFrame, slots: int) -> DataFrame:
-    """Lists of the rarest word of each window: window, length, steps, chunk, places."""
+def _begun(ordered: DataFrame, lists: DataFrame, slots: int, *kept: str) -> DataFrame:
+    """Lists of the rarest word of each window: window, length, steps, chunk, places, and the kept columns of ``ordered``."""
     dealt = lists.withColumn("slot", F.pmod(F.xxhash64("chunk"), F.lit(slots)))
     asked = ordered.withColumn("term", F.col("steps")[0]["term"]).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
-    return dealt.join(asked, ["term", "slot"]).select("window", "length", "steps", "chunk", "places")
+    return dealt.join(asked, ["term", "slot"]).select("window", "length", "steps", "chunk", "places", *kept)
 
 
 def _moved(places: str, offset: Column) -> Column:
@@ -131,18 +133,32 @@ def _rest(left: DataFrame, lists: DataFrame, *kept: str) -> DataFrame:
 
 
 def match_exact(ordered: DataFrame, lists: DataFrame, slots: int = 1) -> DataFrame:
-    """window, length, chunk, place of the first word, of every occurrence of a window, each once."""
-    begun = _begun(ordered, lists, slots).withColumn("places", _moved("places", F.col("steps")[0]["offset"]))
-    single = begun.where("length = 1")
-    both = _second(begun, ordered, lists, 1)
-    both = both.withColumn("places", F.array_intersect("places", _moved("other", F.col("steps")[1]["offset"]))).drop("other")
+    """window, length, chunk, place of the first word, of every occurrence of a window, each once.
+
+    Lists are joined without their window's later steps, which come back by window where they are needed, and never by
+    sending candidates through the driver. Where few places are left, the list of a later word is only searched for
+    each of them; where many are, it is intersected.
+    """
+    first, second = F.col("steps")[0], F.coalesce(F.get("steps", F.lit(1)), F.col("steps")[0])
+    narrow = ordered.select("window", "length", F.array(first).alias("steps"), second["term"].alias("second"), second["offset"].alias("offset"))
+    begun = _begun(narrow, lists, slots, "second", "offset").withColumn("places", _moved("places", first["offset"]))
+    begun = begun.select("window", "length", "chunk", "places", F.col("second").alias("term"), "offset")
+    other = lists.join(narrow.select(F.col("second").alias("term")).distinct(), "term", "left_semi").select("term", "chunk", F.col("places").alias("other"))
+    # a window of one word meets its own list here, which leaves it as it is
+    both = begun.join(other.hint("merge"), ["term", "chunk"])
+    both = both.select("window", "length", "chunk", F.array_intersect("places", _moved("other", F.col("offset"))).alias("places"))
     both = write_table(both.where(F.size("places") > 0), "pairs_of_words")
-    longer = both.where("length > 2")
-    place = F.explode(F.array_intersect("places", _moved("other", F.col("step")["offset"])))
-    each = _rest(longer, lists, "window", "length", "places").select("window", "length", "chunk", place.alias("place"))
+    del begun, other
+    release(both.sparkSession)
+    later = ordered.where("length > 2").select("window", F.explode(F.slice("steps", F.lit(3), F.col("length") - 2)).alias("step"))
+    left = both.where("length > 2").join(later.select("window", "step.term", "step.offset"), "window")
+    each = left.join(lists.select("term", "chunk", F.col("places").alias("other")).hint("merge"), ["term", "chunk"])
+    met = F.when(F.size("places") > FEW, F.array_intersect("places", _moved("other", F.col("offset")))).otherwise(F.col("places"))
+    each = each.select("window", "length", "chunk", (F.size("places") > FEW).alias("known"), "other", "offset", F.explode(met).alias("place"))
+    each = each.where(F.col("known") | F.array_contains("other", F.col("place") + F.col("offset")))
     whole = each.groupBy("window", "length", "chunk", "place").agg(F.count(F.lit(1)).alias("met")).where("met = length - 2")
     columns = ["window", "length", "chunk", "place"]
-    short = single.unionByName(both.where("length = 2")).select("window", "length", "chunk", F.explode("places").alias("place"))
+    short = both.where("length <= 2").select("window", "length", "chunk", F.explode("places").alias("place"))
     return short.select(columns).unionByName(whole.select(columns))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import os
 import tempfile
 import uuid
@@ -71,6 +72,12 @@ def drop_tables(*tables: DataFrame | None) -> None:
             remove_tables(table.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are written and not referred to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextlib.contextmanager
 def shuffles_for(spark: SparkSession, rows: int, rows_per_task: int = 50_000) -> Iterator[None]:
     """Shuffle partitions for about ``rows`` narrow rows, at most as many as the session has; for work that runs inside."""

@@ -93,3 +93,26 @@ def test_index_holds_every_word(spark):
     header = next(r for r in index if r["term"] is None)
     assert (header["numbers"], header["places"]) == ([5, 6, 9], [3, 0, 1])
     assert sorted(r["places"] for r in index if r["term"] is not None) == [[0, 2], [1, 2 << 32]]
+
+
+@pytest.mark.parametrize("few", [0, 2, 1000])
+def test_searched_and_intersected_lists_meet_the_same_places(spark, rows, monkeypatch, few):
+    """Windows that occur once and hundreds of times in one chunk, with words that fill the chunk."""
+    monkeypatch.setattr(phrases, "FEW", few)
+    texts = [(100 + k, "a b c d e f g h a b c " * (k % 7) + "h g f") for k in range(60)] + rows[0]
+    items = rows[1] + [(60, "a b c d e f g h a b c d"), (61, "a a a"), (62, "h g f")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    got = phrases.phrase_matches(df, spark.createDataFrame(items, "item_id long, text string"), near=False)
+    have = [(r["doc_id"], r["phrase_hits"]["n_words"], r["n_hit"], r["phrase_hits"]["items"]) for r in got.withColumn("n_hit", phrases.hit_words()).collect()]
+    want = [(i, n, len(hit), exact) for i, t in texts for n, hit, exact, _ in [brute(t, items)]]
+    assert sorted(have, key=str) == sorted(want, key=str)
+
+
+def test_lists_are_joined_without_a_broadcast_of_candidates(spark, rows):
+    """The joins on word and chunk shuffle at every size: neither lists nor candidates, which grow, pass the driver."""
+    df = spark.createDataFrame(rows[0], "doc_id long, text string").selectExpr("monotonically_increasing_id() number", "text")
+    lists = phrases.positional_index(df).where("term is not null").select("term", "chunk", "places")
+    ordered, slots = phrases._ordered_windows(phrases.windows_of(spark.createDataFrame(rows[1], "item_id long, text string")), lists)
+    plan = phrases.match_exact(ordered, lists, slots)._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "term" in line and "chunk" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
