@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swathbook.llm.components import crowded, linked
-from swathbook.llm.shared import ship_package, write_table
+from swathbook.llm.shared import drop_tables, release, ship_package, write_table
 from swathbook.llm.words import mix64
 
 WIDTH = 8
@@ -156,11 +156,15 @@ def near_lines(df: DataFrame, id: str = "doc_id", text: str = "text", threshold:
     filled = lines.where("line <> ''")
     distinct = filled.groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first"))
     distinct = write_table(distinct.withColumn("node", F.monotonically_increasing_id()), "lines")
+    release(df.sparkSession)
     bands = distinct.select("node", F.explode(F.arrow_udf(_bands, "array<long>")("line")).alias("key"))
     if fine is not None:
         short = distinct.where(F.char_length("line") <= SHORT)
         bands = bands.unionByName(short.select("node", F.explode(F.arrow_udf(_fine_bands(fine), "array<long>")("line")).alias("key")))
-    buckets = crowded(write_table(bands, "bands"))
+    bands = write_table(bands, "bands")
+    buckets = crowded(bands)
+    drop_tables(bands)
+    release(df.sparkSession)
     texts = write_table(distinct.select("node", "line").join(buckets.select("node").distinct(), "node", "left_semi"), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
