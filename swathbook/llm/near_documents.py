@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swathbook.llm.components import crowded, linked
-from swathbook.llm.shared import drop_tables, release, ship_package, write_table
+from swathbook.llm.shared import drop_tables, release, ship_package, trim_memory, write_table
 from swathbook.llm.words import mix64, shingles, words
 
 WIDTH = 5
@@ -39,6 +39,8 @@ SPREAD = 1.5
 LEAST_BATCH, MOST_BATCH, BIN_BYTES = 1 << 18, 1 << 23, 1 << 23
 #: Rows of the table of random variates; a shingle takes the row of its hash.
 VARIATES = 1 << 16
+#: Shingles whose scores are computed at once.
+SCORED = 1 << 12
 #: Rows of candidate keys up to which they are broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
@@ -169,6 +171,7 @@ def _signed(n: int, spread: float | None):
                     out[i] = sample_bands(values, counts, model, often=often), own.tobytes()
             bands.extend(b for b, _ in out)
             levels.extend(v for _, v in out)
+        trim_memory()
         return pa.table({"node": pa.array(nodes, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64())), "levels": pa.array(levels, pa.binary())})
 
     return run
@@ -189,8 +192,8 @@ def _variates(samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r and c from Gamma(2, 1) (c as a logarithm), b uniform, for each row and sample; the same in every process."""
     draw = np.random.Generator(np.random.PCG64(20240607))
     r = draw.standard_gamma(2.0, (VARIATES, samples), dtype=np.float32)
-    c = np.log(draw.standard_gamma(2.0, (VARIATES, samples), dtype=np.float32))
-    return np.maximum(r, np.float32(1e-6)), c, draw.random((VARIATES, samples), dtype=np.float32)
+    c = draw.standard_gamma(2.0, (VARIATES, samples), dtype=np.float32)
+    return np.maximum(r, np.float32(1e-6), out=r), np.log(c, out=c), draw.random((VARIATES, samples), dtype=np.float32)
 
 
 def _scores(rows: np.ndarray, log_weight: np.ndarray, samples: int) -> np.ndarray:
@@ -204,7 +207,19 @@ def _scores(rows: np.ndarray, log_weight: np.ndarray, samples: int) -> np.ndarra
 @lru_cache(2)
 def _plain_scores(samples: int, weight: float) -> np.ndarray:
     """Scores of a common weight, such as that of a rare shingle that occurs once."""
-    return _scores(np.arange(VARIATES), np.full(VARIATES, np.log(weight), np.float32), samples)
+    out = np.empty((VARIATES, samples), np.float32)
+    for begin in range(0, VARIATES, SCORED):
+        rows = np.arange(begin, min(begin + SCORED, VARIATES))
+        out[rows] = _scores(rows, np.full(len(rows), np.log(weight), np.float32), samples)
+    return out
+
+
+def drop_variates() -> None:
+    """Free this process's tables of variates and scores; the functions that run after the bands are signed have no use for them."""
+    if _variates.cache_info().currsize or _plain_scores.cache_info().currsize:
+        _variates.cache_clear()
+        _plain_scores.cache_clear()
+        trim_memory()
 
 
 def sample_bands(values: np.ndarray, counts: np.ndarray, model, bands: int = BANDS, rows: int = ROWS, often: tuple = ()) -> np.ndarray:
@@ -217,8 +232,8 @@ def sample_bands(values: np.ndarray, counts: np.ndarray, model, bands: int = BAN
     often = often or (model[2],)
     best = np.full(samples, np.inf, np.float32)
     pick = np.zeros(samples, np.int64)
-    for begin in range(0, len(values), 1 << 14):
-        part = slice(begin, begin + (1 << 14))
+    for begin in range(0, len(values), SCORED):
+        part = slice(begin, begin + SCORED)
         at = (values[part] & np.uint64(VARIATES - 1)).astype(np.int64)
         scores, odd = np.empty((len(at), samples), np.float32), np.ones(len(at), bool)
         for weight in often:
@@ -346,6 +361,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
             yield i, values, counts * _idf(np.frombuffer(levels[i].as_buffer(), np.uint32), n, spread)
 
     def holds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_variates()
         for batch in batches:
             one = {i: (v, w) for i, v, w in weighed(batch, "_a")}
             keep = [_jaccard(*one[i], v, w) >= threshold for i, v, w in weighed(batch, "_b")]
@@ -358,6 +374,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", thres
         return both.mapInArrow(holds, "a long, b long")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_variates()
         for batch in batches:
             nodes, parts = batch.column("node").to_numpy(), []
             for i, v, w in weighed(batch):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -12,6 +13,7 @@ import zipfile
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,6 +80,13 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def trim_memory() -> None:
+    """Give back to the system what this process has freed; a Python worker otherwise keeps it while it waits for its next task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @contextlib.contextmanager
 def shuffles_for(spark: SparkSession, rows: int, rows_per_task: int = 50_000) -> Iterator[None]:
     """Shuffle partitions for about ``rows`` narrow rows, at most as many as the session has; for work that runs inside."""
