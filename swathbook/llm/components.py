@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from swathbook.llm.shared import drop_tables, shuffles_for, write_table
@@ -56,6 +57,12 @@ def crowded(bands: DataFrame) -> DataFrame:
     return write_table(bands.join(many, "key").select("node", "key"), "buckets")
 
 
+def crowded_once(bands: DataFrame) -> DataFrame:
+    """The same as ``crowded`` for bands that are no table: they are computed once, and shuffled once, by their key."""
+    counted = bands.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key")))
+    return write_table(counted.where("n > 1").select("node", "key"), "buckets")
+
+
 def able(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows (node, key, weight, reach) that may make a pair in their key, written once.
 

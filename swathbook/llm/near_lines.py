@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swathbook.llm.components import crowded, linked
+from swathbook.llm.components import crowded_once, linked
 from swathbook.llm.shared import drop_tables, release, ship_package, write_table
 from swathbook.llm.words import mix64
 
@@ -33,8 +33,8 @@ BINS, BANDS, ROWS = 64, 16, 4
 #: Width for short lines as the registered query uses it, and the characters up to which a line is short.
 FINE, SHORT = 3, 100
 FINE_BANDS, FINE_ROWS = 40, 8
-#: Characters hashed at once.
-CHUNK = 1 << 20
+#: Characters hashed at once, and rows of crowded lines up to which they are broadcast.
+CHUNK, BROADCAST_ROWS = 1 << 17, 1_000_000
 
 
 def line_shingles(lines: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -46,12 +46,17 @@ def line_shingles(lines: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.
     size = np.repeat(np.minimum(length, width), count)
     bounds = np.concatenate([[0], np.cumsum(count)])
     first = np.arange(bounds[-1]) - np.repeat(bounds[:-1], count) + np.repeat(start, count)
+    base = np.uint64(0x2545F4914F6CDD1D)
+    if (size == width).all():
+        # all shingles have the same length: the sums are rolled over the characters of all lines
+        rolled = np.full(max(len(codes) - width + 1, 0), width, np.uint64)
+        for i in range(width):
+            rolled *= base
+            rolled += codes[i : len(rolled) + i]
+        return mix64(rolled[first]), bounds
     out = size.astype(np.uint64)
-    short = bool((size < width).any())
     for i in range(width):
-        code = codes[np.minimum(first + i, len(codes) - 1)] if len(codes) else codes
-        grown = out * np.uint64(0x2545F4914F6CDD1D) + code
-        out = np.where(i < size, grown, out) if short else grown
+        out = np.where(i < size, out * base + codes[np.minimum(first + i, len(codes) - 1)], out)
     return mix64(out), bounds
 
 
@@ -142,47 +147,82 @@ def _holds(threshold: float, fine: int | None):
     return run
 
 
-def near_lines(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, fine: int | None = None) -> DataFrame:
-    """One row for each line of each text: id, line_no (from 0), line, class_line (the line kept for it), kept.
+def line_rows(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, text_key (hash of the text), line_no (from 0), line and line_key (its hash) of each line of each text."""
+    split = F.posexplode(F.split(F.col(text), "\n", -1))
+    lines = df.select(F.col(id).alias("id"), text_key(text).alias("text_key"), split.alias("line_no", "line"))
+    return lines.withColumn("line_key", F.md5("line"))
 
-    Lines are what newline characters separate. Of the lines of a component, the first by (id, line_no, line) stays;
-    an id that is null sorts first. An empty line is kept always and is a class of its own. Repeated rows (same id,
-    line_no and line) are kept or dropped alike. ``fine`` is the width of the shingles that short lines are compared by too. A null text has no line; an empty table gives no rows. Other columns
-    of ``df`` are not read.
+
+def text_key(text: str) -> Column:
+    """With its id, what tells a document's rows from others; of rows alike in both, all lines are kept or dropped alike."""
+    return F.xxhash64(text)
+
+
+def line_classes(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, fine: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The first place of every line that is not empty, and the lines that are near an earlier one.
+
+    Firsts: line_key, first (id, line_no). Moved: line_key, class_line (the line kept for it). Texts are shuffled once, to
+    find the distinct lines, and only lines that share a band are read again; all else goes by the lines' hashes.
     """
-    ship_package(df.sparkSession)
-    split = F.posexplode(F.split(F.col(text), "\n", -1))
-    lines = df.select(F.col(id).alias("id"), split.alias("line_no", "line"))
-    filled = lines.where("line <> ''")
-    distinct = filled.groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first"))
+    spark = df.sparkSession
+    ship_package(spark)
+    distinct = line_rows(df, id, text).where("line <> ''").groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first"))
     distinct = write_table(distinct.withColumn("node", F.monotonically_increasing_id()), "lines")
-    release(df.sparkSession)
+    release(spark)
     bands = distinct.select("node", F.explode(F.arrow_udf(_bands, "array<long>")("line")).alias("key"))
     if fine is not None:
         short = distinct.where(F.char_length("line") <= SHORT)
         bands = bands.unionByName(short.select("node", F.explode(F.arrow_udf(_fine_bands(fine), "array<long>")("line")).alias("key")))
-    bands = write_table(bands, "bands")
-    buckets = crowded(bands)
-    drop_tables(bands)
-    release(df.sparkSession)
-    texts = write_table(distinct.select("node", "line").join(buckets.select("node").distinct(), "node", "left_semi"), "texts")
+    buckets = crowded_once(bands)
+    release(spark)
+    wanted = write_table(buckets.select("node").distinct(), "wanted")
+    wide = wanted.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS
+    texts = write_table(distinct.join(wanted if wide else F.broadcast(wanted), "node", "left_semi").select("node", "line", "first"), "texts")
+    firsts = write_table(distinct.select(F.md5("line").alias("line_key"), "first"), "firsts")
+    drop_tables(distinct, wanted)
+    release(spark)
 
     def verify(pairs: DataFrame) -> DataFrame:
         one, two = texts.select(F.col("node").alias("a"), F.col("line").alias("line_a")), texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
         return pairs.join(one, "a").join(two, "b").select("a", "b", "line_a", "line_b").mapInArrow(_holds(threshold, fine), "a long, b long")
 
     roots = linked(buckets, verify)
-    member = distinct.join(roots, "node")
+    member = texts.join(roots, "node")
     heads = member.groupBy("root").agg(F.min(F.struct("first", "line")).alias("head"))
-    others = member.join(heads, "root").select("line", F.col("head.first").alias("head_first"), F.col("head.line").alias("class_line"))
-    alone = distinct.join(roots, "node", "left_anti").select("line", F.col("first").alias("head_first"), F.col("line").alias("class_line"))
-    classes = others.unionByName(alone)
-    full = filled.join(classes, "line").select(
-        "id",
-        "line_no",
-        "line",
-        "class_line",
-        ((F.col("line") == F.col("class_line")) & F.col("id").eqNullSafe(F.col("head_first.id")) & (F.col("line_no") == F.col("head_first.line_no"))).alias("kept"),
-    )
+    moved = member.join(heads, "root").where("line <> head.line").select(F.md5("line").alias("line_key"), F.col("head.line").alias("class_line"))
+    moved = write_table(moved, "moved")
+    drop_tables(buckets, texts, roots)
+    release(spark)
+    return firsts, moved
+
+
+def near_lines(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, fine: int | None = None) -> DataFrame:
+    """One row for each line of each text: id, line_no (from 0), line, class_line (the line kept for it), kept.
+
+    Lines are what newline characters separate. Of the lines of a component, the first by (id, line_no, line) stays;
+    an id that is null sorts first. An empty line is kept always and is a class of its own. Repeated rows (same id,
+    line_no and line) are kept or dropped alike. ``fine`` is the width of the shingles that short lines are compared by too. A null text has no line; an empty table gives no rows. Other columns
+    of ``df`` are not read.
+    """
+    firsts, moved = line_classes(df, id, text, threshold, fine)
+    lines = line_rows(df, id, text)
+    full = lines.where("line <> ''").join(firsts, "line_key").join(moved, "line_key", "left")
+    full = full.select("id", "line_no", "line", F.coalesce("class_line", "line").alias("class_line"), (F.col("class_line").isNull() & _is_first()).alias("kept"))
     empty = lines.where("line = ''").select("id", "line_no", "line", F.col("line").alias("class_line"), F.lit(True).alias("kept"))
     return full.unionByName(empty).withColumnRenamed("id", id)
+
+
+def lines_gone(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, fine: int | None = None) -> DataFrame:
+    """The lines that ``near_lines`` does not keep, by document: id, text_key, gone (their line_no, ascending, each once).
+
+    Documents that keep all their lines are absent. No text is shuffled for it but by ``line_classes``.
+    """
+    firsts, moved = line_classes(df, id, text, threshold, fine)
+    full = line_rows(df, id, text).where("line <> ''").drop("line").join(firsts, "line_key").join(moved.select("line_key", F.lit(True).alias("moved")), "line_key", "left")
+    gone = full.where(F.col("moved").isNotNull() | ~_is_first()).groupBy("id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+    return gone.withColumnRenamed("id", id)
+
+
+def _is_first() -> Column:
+    return F.col("id").eqNullSafe(F.col("first.id")) & (F.col("line_no") == F.col("first.line_no"))

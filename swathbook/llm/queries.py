@@ -11,7 +11,7 @@ from swathbook.llm.html_text import extract_text, fit_extractor
 from swathbook.llm.language import fit_languages, identify_languages
 from swathbook.llm.mixing import mix
 from swathbook.llm.near_documents import SPREAD, near_duplicates
-from swathbook.llm.near_lines import FINE, near_lines
+from swathbook.llm.near_lines import FINE, lines_gone, text_key
 from swathbook.llm.phrases import hit_words, phrase_matches
 from swathbook.llm.quality import fit_quality, score_quality
 from swathbook.llm.sharding import assign_shards
@@ -36,14 +36,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @_query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's number of lines, of those that go, and the hash of the text that stays."""
-    found = near_lines(table(spark, sf_dir, "documents"), fine=FINE)
-    stay = F.collect_list(F.when(F.col("kept"), F.struct("line_no", F.col("line"))))
-    lines = found.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count(F.when(~F.col("kept"), 1)).alias("n_removed"), F.array_sort(stay).alias("stay")
-    )
-    text = F.array_join(F.transform("stay", lambda x: x["line"]), "\n")
-    return lines.select("doc_id", "n_lines", "n_removed", F.md5(text).alias("kept_md5"))
+    """Each document's number of lines, of those that go, and the hash of the text that stays (null for a null text, which has no line).
+
+    A row for each document; documents alike in id and text fare alike.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = lines_gone(docs, fine=FINE).withColumnRenamed("doc_id", "id")
+    docs = docs.select("doc_id", text_key("text").alias("key"), F.split("text", "\n", -1).alias("lines"))
+    judged = docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]) & (docs["key"] == gone["text_key"]), "left")
+    judged = judged.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    text = F.when(F.col("lines").isNotNull(), F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
+    n_lines = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long")
+    return judged.select("doc_id", n_lines.alias("n_lines"), F.size("gone").cast("long").alias("n_removed"), F.md5(text).alias("kept_md5"))
 
 
 @_query
