@@ -94,7 +94,7 @@ def unlike(buckets: DataFrame) -> DataFrame:
     return found
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None, at_once: int | None = None) -> DataFrame:
     """Roots (node, root) of the components of all verified pairs that share a bucket; nodes without a link are absent.
 
     ``verify`` gets candidate pairs (a, b) and returns those that hold. In a star round, a member of a bucket is tried
@@ -107,11 +107,14 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], refine:
     Finer buckets may have the columns weight and reach: a pair that can hold shares a key where each node's weight is at
     most the other's reach, and is tried in no other key. Such buckets have their star rounds from the node with the
     largest reach for its weight. With ``refine``, star rounds also end when fewer than one in USEFUL tries makes a link.
+
+    ``at_once`` is for a ``verify`` that rules out most pairs cheaply: after the first star round, pairs are tried all
+    together where they are no more than so many times the rows of the buckets.
     """
     none = buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
     roots = buckets.select("node", F.col("node").alias("root")).where("false")
     useful = 0 if refine is None else USEFUL
-    roots, tried, held = _stars(_always(buckets), verify, roots, none, useful)
+    roots, tried, held = _stars(_always(buckets), verify, roots, none, useful, at_once)
     if refine is not None:
         nodes = write_table(held.select("node").distinct(), "apart")
         finer = unlike(able(_always(refine(nodes)), roots))
@@ -134,7 +137,7 @@ def _always(buckets: DataFrame) -> DataFrame:
 
 
 def _stars(
-    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], roots: DataFrame, tried: DataFrame, useful: int = 0
+    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], roots: DataFrame, tried: DataFrame, useful: int = 0, at_once: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Star rounds: the roots and tried pairs after them, and the rows (node, key, root, weight, reach) of buckets still apart."""
     rows, limit = buckets.agg(F.count(F.lit(1)), F.count_distinct("node")).first()
@@ -147,7 +150,8 @@ def _stars(
             drop_tables(superseded)
             by_root = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
             by_key = by_root.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"))
-            if not found or (by_key.agg(F.sum("cross")).first()[0] or 0) <= limit:
+            few = limit if at_once is None or turn == 0 else max(limit, at_once * rows)
+            if not found or (by_key.agg(F.sum("cross")).first()[0] or 0) <= few:
                 return roots, tried, held
             order = F.struct((F.col("weight") / F.col("reach")).alias("far"), "node") if turn < 2 else F.struct(F.xxhash64("node", F.lit(turn)).alias("far"), "node")
             pivots = held.groupBy("key").agg(F.min(F.struct(order.alias("o"), "root", "weight", "reach")).alias("p"))

@@ -33,48 +33,64 @@ BINS, BANDS, ROWS = 64, 16, 4
 #: Width for short lines as the registered query uses it, and the characters up to which a line is short.
 FINE, SHORT = 3, 100
 FINE_BANDS, FINE_ROWS = 40, 8
-#: Characters hashed at once, and rows of crowded lines up to which they are broadcast.
-CHUNK, BROADCAST_ROWS = 1 << 17, 1_000_000
+#: Characters hashed at once (so that a worker's arrays stay in its cache), and rows of crowded lines up to which they are broadcast.
+CHUNK, BROADCAST_ROWS = 1 << 16, 1_000_000
+#: Factor of the rolled sums, and pairs verified at once.
+BASE, PAIRS = 0x2545F4914F6CDD1D, 1 << 12
+#: Bits of a line's sketch, and pairs for each row of a bucket up to which they are tried at once: sketches rule out most.
+SKETCH, AT_ONCE = 512, 8
 
 
 def line_shingles(lines: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all lines, one after the other, and the bounds of each line's (an empty line has none)."""
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     length = np.fromiter(map(len, lines), np.int64, len(lines))
-    start = np.cumsum(length) - length
-    count = np.where(length == 0, 0, np.maximum(length - width + 1, 1))
-    size = np.repeat(np.minimum(length, width), count)
-    bounds = np.concatenate([[0], np.cumsum(count)])
-    first = np.arange(bounds[-1]) - np.repeat(bounds[:-1], count) + np.repeat(start, count)
-    base = np.uint64(0x2545F4914F6CDD1D)
-    if (size == width).all():
-        # all shingles have the same length: the sums are rolled over the characters of all lines
-        rolled = np.full(max(len(codes) - width + 1, 0), width, np.uint64)
-        for i in range(width):
-            rolled *= base
-            rolled += codes[i : len(rolled) + i]
-        return mix64(rolled[first]), bounds
-    out = size.astype(np.uint64)
-    for i in range(width):
-        out = np.where(i < size, out * base + codes[np.minimum(first + i, len(codes) - 1)], out)
-    return mix64(out), bounds
+    bounds = np.concatenate([[0], np.cumsum(np.where(length == 0, 0, np.maximum(length - width + 1, 1)))])
+    short = length < width
+    if not short.any():
+        return _rolled(codes, length, width), bounds
+    of_short, code_of_short = np.repeat(short, np.diff(bounds)), np.repeat(short, length)
+    out = np.empty(bounds[-1], np.uint64)
+    out[~of_short] = _rolled(codes[~code_of_short], length[~short], width)
+    # a shorter line is one shingle
+    size, codes = length[short & (length > 0)], codes[code_of_short]
+    first, sums = np.cumsum(size) - size, size.astype(np.uint64)
+    for i in range(width if len(size) else 0):
+        sums = np.where(i < size, sums * np.uint64(BASE) + codes[np.minimum(first + i, len(codes) - 1)], sums)
+    out[of_short] = mix64(sums)
+    return out, bounds
+
+
+def _rolled(codes: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of lines of at least ``width`` characters: sums are rolled over the characters of all, those across the end of a line dropped."""
+    if not len(codes):
+        return codes
+    inside = np.ones(len(codes) - width + 1, bool)
+    over = (np.cumsum(length)[:-1, None] - np.arange(1, width)).ravel()
+    inside[over] = False
+    base, done = np.uint64(BASE), 1
+    sums = codes
+    while 2 * done <= width:
+        sums = sums[:-done] * np.uint64(pow(BASE, done, 1 << 64)) + sums[done:]
+        done *= 2
+    for i in range(done, width):
+        sums = sums[:-1] * base + codes[i:]
+    return mix64(sums[inside] + np.uint64(width * pow(BASE, width, 1 << 64) % (1 << 64)))
 
 
 def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """BINS minima of each line; all lines have a shingle."""
     lines = len(bounds) - 1
-    row = np.repeat(np.arange(lines), np.diff(bounds))
-    slot = row * BINS + (hashes >> np.uint64(58)).astype(np.int64) % BINS
+    row = np.repeat(np.arange(0, lines * BINS, BINS), np.diff(bounds))
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
     out = np.full(lines * BINS, empty, np.uint64)
-    np.minimum.at(out, slot, hashes)
+    np.minimum.at(out, row + (hashes >> np.uint64(58)).astype(np.int64), hashes)
     out = out.reshape(lines, BINS)
-    for _ in range(BINS):
-        hole = out == empty
-        if not hole.any():
-            break
-        out = np.where(hole, np.roll(out, -1, 1), out)
-    return out
+    # the place of the next filled bin, going round once
+    place = np.where(out == empty, 2 * BINS, np.arange(BINS))
+    place = np.concatenate([place, np.minimum(place + BINS, 2 * BINS)], 1)[:, ::-1]
+    place = np.minimum.accumulate(place, 1)[:, ::-1][:, :BINS] % BINS
+    return np.take_along_axis(out, place, 1)
 
 
 def bands_of(lines: list[str]) -> np.ndarray:
@@ -87,14 +103,18 @@ def bands_of(lines: list[str]) -> np.ndarray:
 
 
 def fine_bands_of(lines: list[str], width: int) -> np.ndarray:
-    """Bands of short lines: each of their minima is over all shingles, by a hash of its own."""
+    """Bands of short lines: each of their minima is over all shingles, by an order of its own (xor, odd factor, high bits first)."""
     hashes, bounds = line_shingles(lines, width)
-    key = np.empty((len(lines), FINE_BANDS), np.uint64)
+    count = np.diff(bounds)
+    place = np.arange(count.max())[:, None]
+    grid = (hashes >> np.uint64(32)).astype(np.uint32)[np.where(place < count, place, 0) + bounds[:-1]]
+    seeds = (mix64(np.arange(1, 2 * FINE_BANDS * FINE_ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32).reshape(FINE_BANDS, FINE_ROWS, 2)
+    key, order = np.empty((len(lines), FINE_BANDS), np.uint64), np.empty_like(grid)
     for band in range(FINE_BANDS):
         own = np.full(len(lines), band + BANDS + 1, np.uint64)
-        for i in range(FINE_ROWS):
-            seed = mix64(np.array([band * FINE_ROWS + i + 1], np.uint64))
-            own = mix64(own * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mix64(hashes ^ seed), bounds[:-1]))
+        for mask, factor in seeds[band]:
+            np.multiply(np.bitwise_xor(grid, mask, out=order), factor | np.uint32(1), out=order)
+            own = mix64(own * np.uint64(0x9E3779B97F4A7C15) + order.min(axis=0))
         key[:, band] = own
     return key.view(np.int64)
 
@@ -102,46 +122,117 @@ def fine_bands_of(lines: list[str], width: int) -> np.ndarray:
 def _groups(lines: list[str]) -> Iterator[tuple[int, int]]:
     begin, size = 0, 0
     for i, line in enumerate(lines):
-        if size and size + len(line) > CHUNK:
+        taken = max(len(line), BINS)
+        if size and size + taken > CHUNK:
             yield begin, i
             begin, size = i, 0
-        size += len(line)
+        size += taken
     if begin < len(lines):
         yield begin, len(lines)
 
 
-def _bands(lines: pa.Array) -> pa.Array:
-    texts, parts = lines.to_pylist(), [np.zeros((0, BANDS), np.int64)]
-    for begin, end in _groups(texts):
-        parts.append(bands_of(texts[begin:end]))
-    flat = np.concatenate(parts)
-    return pa.ListArray.from_arrays(np.arange(0, flat.size + 1, BANDS, dtype=np.int32), pa.array(flat.ravel())).cast(pa.list_(pa.int64()))
+def _bands(fine: int | None):
+    """All bands of each line: BANDS, and with ``fine`` FINE_BANDS more of lines of at most SHORT characters."""
 
-
-def _fine_bands(width: int):
     def run(lines: pa.Array) -> pa.Array:
-        texts, parts = lines.to_pylist(), [np.zeros((0, FINE_BANDS), np.int64)]
+        texts = lines.to_pylist()
+        short = [i for i, line in enumerate(texts) if fine is not None and len(line) <= SHORT]
+        count = np.full(len(texts), BANDS)
+        count[short] += FINE_BANDS
+        bounds = np.concatenate([[0], np.cumsum(count)])
+        flat = np.empty(bounds[-1], np.int64)
         for begin, end in _groups(texts):
-            parts.append(fine_bands_of(texts[begin:end], width))
-        flat = np.concatenate(parts)
-        return pa.ListArray.from_arrays(np.arange(0, flat.size + 1, FINE_BANDS, dtype=np.int32), pa.array(flat.ravel())).cast(pa.list_(pa.int64()))
+            flat[bounds[begin:end, None] + np.arange(BANDS)] = bands_of(texts[begin:end])
+        few = [texts[i] for i in short]
+        for begin, end in _groups(few):
+            flat[bounds[short[begin:end], None] + np.arange(BANDS, BANDS + FINE_BANDS)] = fine_bands_of(few[begin:end], fine)
+        return pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(flat)).cast(pa.list_(pa.int64()))
 
     return run
 
 
-def _near(x: str, y: str, threshold: float, width: int) -> bool:
-    a, b = np.unique(line_shingles([x], width)[0]), np.unique(line_shingles([y], width)[0])
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= threshold * (len(a) + len(b) - both)
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]]
+
+
+def odd_sketches(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of distinct shingles of each line (fewer than PAIRS lines), and SKETCH bits of each: a bit tells whether an odd number of them falls on it.
+
+    The bits in which two lines differ are never more than the shingles that only one of them has.
+    """
+    hashes, bounds = line_shingles(lines, width)
+    row = np.repeat(np.arange(len(lines), dtype=np.uint64), np.diff(bounds))
+    keys = _distinct(row << np.uint64(52) | hashes >> np.uint64(12))
+    row, hashes = (keys >> np.uint64(52)).astype(np.int64), keys
+    odd = np.bincount(row * SKETCH + (hashes % np.uint64(SKETCH)).astype(np.int64), minlength=len(lines) * SKETCH) & 1
+    words = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(lines), SKETCH // 64)
+    return np.bincount(row, minlength=len(lines)), words
+
+
+def _sketches(fine: int | None):
+    """Rows (node, short, n, w0 to w7 and, with ``fine``, m, v0 to v7) for rows (node, line)."""
+    widths = [("n", "w", WIDTH)] + ([] if fine is None else [("m", "v", fine)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, node = batch.column("line").to_pylist(), batch.column("node")
+            for begin, end in _groups(lines):
+                part = lines[begin:end]
+                out = {"node": node.slice(begin, end - begin), "short": pa.array([len(line) <= SHORT for line in part])}
+                for size, word, width in widths:
+                    count, words = odd_sketches(part, width)
+                    out[size] = pa.array(count.astype(np.int64))
+                    out |= {f"{word}{i}": pa.array(np.ascontiguousarray(words[:, i])) for i in range(words.shape[1])}
+                yield pa.RecordBatch.from_pydict(out)
+
+    names = [name for size, word, _ in widths for name in [size, *(f"{word}{i}" for i in range(SKETCH // 64))]]
+    return run, "node long, short boolean, " + ", ".join(f"{name} long" for name in names)
+
+
+def _may_hold(threshold: float, fine: int | None) -> Column:
+    """Whether the sketches of two lines, in columns ending in _a and _b, leave room for the threshold: no pair that holds is left out.
+
+    With d shingles that only one of the lines has, the similarity is (n - d) / (n + d) for n shingles of both lines together.
+    """
+
+    def room(size: str, word: str) -> Column:
+        differ = sum((F.bit_count(F.col(f"{word}{i}_a").bitwiseXOR(F.col(f"{word}{i}_b"))) for i in range(SKETCH // 64)), F.lit(0))
+        apart = F.greatest(differ, F.abs(F.col(f"{size}_a") - F.col(f"{size}_b")))
+        both = F.col(f"{size}_a") + F.col(f"{size}_b")
+        return both - apart >= threshold * (both + apart) - 1e-6
+
+    return room("n", "w") if fine is None else room("n", "w") | (F.col("short_a") & F.col("short_b") & room("m", "v"))
+
+
+def _near(one: list[str], two: list[str], threshold: float, width: int) -> np.ndarray:
+    """Which pairs of lines reach the threshold; at most PAIRS, whose number stands in the first bits of their shingles."""
+    hashes, bounds = line_shingles(one + two, width)
+    pair = np.repeat(np.tile(np.arange(len(one), dtype=np.uint64), 2), np.diff(bounds))
+    keys = pair << np.uint64(52) | hashes >> np.uint64(12)
+    keys = keys & ~np.uint64(1)
+    keys[bounds[len(one)] :] += np.uint64(1)  # the last bit tells the second line's from the first's
+    keys = _distinct(keys)
+    count = lambda x: np.bincount((x >> np.uint64(52)).astype(np.int64), minlength=len(one))
+    both = count(keys[1:][(keys[1:] ^ keys[:-1]) == 1])
+    return both >= threshold * (count(keys) - both)
 
 
 def _holds(threshold: float, fine: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = batch.column("line_a").to_pylist(), batch.column("line_b").to_pylist()
-            keep = np.zeros(len(one), bool)
-            for i, (x, y) in enumerate(zip(one, two, strict=True)):
-                keep[i] = _near(x, y, threshold, WIDTH) or (fine is not None and max(len(x), len(y)) <= SHORT and _near(x, y, threshold, fine))
+            keep, begin = np.zeros(len(one), bool), 0
+            while begin < len(one):
+                end, size = begin, 0
+                while end < len(one) and end - begin < PAIRS and (end == begin or size < 2 * CHUNK):
+                    size += len(one[end]) + len(two[end])
+                    end += 1
+                keep[begin:end] = _near(one[begin:end], two[begin:end], threshold, WIDTH)
+                left = [] if fine is None else [i for i in range(begin, end) if not keep[i] and max(len(one[i]), len(two[i])) <= SHORT]
+                if left:
+                    keep[left] = _near([one[i] for i in left], [two[i] for i in left], threshold, fine)
+                begin = end
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
@@ -159,42 +250,44 @@ def text_key(text: str) -> Column:
     return F.xxhash64(text)
 
 
-def line_classes(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, fine: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """The first place of every line that is not empty, and the lines that are near an earlier one.
+def line_classes(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, fine: int | None = None) -> DataFrame:
+    """The lines that are not empty and have more than one place, or are near an earlier line.
 
-    Firsts: line_key, first (id, line_no). Moved: line_key, class_line (the line kept for it). Texts are shuffled once, to
-    find the distinct lines, and only lines that share a band are read again; all else goes by the lines' hashes.
+    line_key, first (the first place of the line: id, line_no) and class_line (the line kept for it, null if it is that
+    itself). Texts are shuffled once, to find the distinct lines, and only lines that share a band are read again; all
+    else goes by the lines' hashes. A pair of lines is compared by sketches, and by its shingles where these leave room.
     """
     spark = df.sparkSession
     ship_package(spark)
-    distinct = line_rows(df, id, text).where("line <> ''").groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first"))
-    distinct = write_table(distinct.withColumn("node", F.monotonically_increasing_id()), "lines")
+    places = line_rows(df, id, text).where("line <> ''").groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first"), F.count(F.lit(1)).alias("places"))
+    distinct = write_table(places.withColumn("node", F.monotonically_increasing_id()), "lines")
     release(spark)
-    bands = distinct.select("node", F.explode(F.arrow_udf(_bands, "array<long>")("line")).alias("key"))
-    if fine is not None:
-        short = distinct.where(F.char_length("line") <= SHORT)
-        bands = bands.unionByName(short.select("node", F.explode(F.arrow_udf(_fine_bands(fine), "array<long>")("line")).alias("key")))
-    buckets = crowded_once(bands)
+    buckets = crowded_once(distinct.select("node", F.explode(F.arrow_udf(_bands(fine), "array<long>")("line")).alias("key")))
     release(spark)
     wanted = write_table(buckets.select("node").distinct(), "wanted")
     wide = wanted.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS
     texts = write_table(distinct.join(wanted if wide else F.broadcast(wanted), "node", "left_semi").select("node", "line", "first"), "texts")
-    firsts = write_table(distinct.select(F.md5("line").alias("line_key"), "first"), "firsts")
+    firsts = write_table(distinct.where("places > 1").select(F.md5("line").alias("line_key"), "first"), "firsts")
     drop_tables(distinct, wanted)
     release(spark)
+    run, schema = _sketches(fine)
+    sketches = write_table(texts.select("node", "line").mapInArrow(run, schema), "sketches")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one, two = texts.select(F.col("node").alias("a"), F.col("line").alias("line_a")), texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
-        return pairs.join(one, "a").join(two, "b").select("a", "b", "line_a", "line_b").mapInArrow(_holds(threshold, fine), "a long, b long")
+        of = lambda table, side: table.select(*[F.col(c).alias(side if c == "node" else f"{c}_{side}") for c in table.columns])
+        likely = pairs.join(of(sketches, "a"), "a").join(of(sketches, "b"), "b").where(_may_hold(threshold, fine)).select("a", "b")
+        lines = texts.select("node", "line")
+        return likely.join(of(lines, "a"), "a").join(of(lines, "b"), "b").select("a", "b", "line_a", "line_b").mapInArrow(_holds(threshold, fine), "a long, b long")
 
-    roots = linked(buckets, verify)
+    roots = linked(buckets, verify, at_once=AT_ONCE)
     member = texts.join(roots, "node")
     heads = member.groupBy("root").agg(F.min(F.struct("first", "line")).alias("head"))
-    moved = member.join(heads, "root").where("line <> head.line").select(F.md5("line").alias("line_key"), F.col("head.line").alias("class_line"))
+    moved = member.join(heads, "root").where("line <> head.line").select(F.md5("line").alias("line_key"), "first", F.col("head.line").alias("class_line"))
     moved = write_table(moved, "moved")
-    drop_tables(buckets, texts, roots)
+    drop_tables(buckets, texts, sketches, roots)
     release(spark)
-    return firsts, moved
+    alone = firsts.join(moved, "line_key", "left_anti").withColumn("class_line", F.lit(None).cast("string"))
+    return moved.unionByName(alone)
 
 
 def near_lines(df: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, fine: int | None = None) -> DataFrame:
@@ -205,10 +298,10 @@ def near_lines(df: DataFrame, id: str = "doc_id", text: str = "text", threshold:
     line_no and line) are kept or dropped alike. ``fine`` is the width of the shingles that short lines are compared by too. A null text has no line; an empty table gives no rows. Other columns
     of ``df`` are not read.
     """
-    firsts, moved = line_classes(df, id, text, threshold, fine)
+    classes = line_classes(df, id, text, threshold, fine)
     lines = line_rows(df, id, text)
-    full = lines.where("line <> ''").join(firsts, "line_key").join(moved, "line_key", "left")
-    full = full.select("id", "line_no", "line", F.coalesce("class_line", "line").alias("class_line"), (F.col("class_line").isNull() & _is_first()).alias("kept"))
+    full = lines.where("line <> ''").join(classes, "line_key", "left")
+    full = full.select("id", "line_no", "line", F.coalesce("class_line", "line").alias("class_line"), (~_goes()).alias("kept"))
     empty = lines.where("line = ''").select("id", "line_no", "line", F.col("line").alias("class_line"), F.lit(True).alias("kept"))
     return full.unionByName(empty).withColumnRenamed("id", id)
 
@@ -218,11 +311,13 @@ def lines_gone(df: DataFrame, id: str = "doc_id", text: str = "text", threshold:
 
     Documents that keep all their lines are absent. No text is shuffled for it but by ``line_classes``.
     """
-    firsts, moved = line_classes(df, id, text, threshold, fine)
-    full = line_rows(df, id, text).where("line <> ''").drop("line").join(firsts, "line_key").join(moved.select("line_key", F.lit(True).alias("moved")), "line_key", "left")
-    gone = full.where(F.col("moved").isNotNull() | ~_is_first()).groupBy("id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+    classes = line_classes(df, id, text, threshold, fine).select("line_key", "first", F.when(F.col("class_line").isNotNull(), "").alias("class_line"))
+    full = line_rows(df, id, text).where("line <> ''").drop("line").join(classes, "line_key")
+    gone = full.where(_goes()).groupBy("id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
     return gone.withColumnRenamed("id", id)
 
 
-def _is_first() -> Column:
-    return F.col("id").eqNullSafe(F.col("first.id")) & (F.col("line_no") == F.col("first.line_no"))
+def _goes() -> Column:
+    """Whether a line at (id, line_no) goes; lines without a first place are those with one place and no earlier near line."""
+    here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("line_no") == F.col("first.line_no"))
+    return F.col("first").isNotNull() & (F.col("class_line").isNotNull() | ~here)
