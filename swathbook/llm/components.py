@@ -109,11 +109,11 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], refine:
     largest reach for its weight. With ``refine``, star rounds also end when fewer than one in USEFUL tries makes a link.
 
     ``at_once`` is for a ``verify`` that rules out most pairs cheaply: after the first star round, pairs are tried all
-    together where they are no more than so many times the rows of the buckets.
+    together where they are no more than so many times the rows of the buckets, or fewer than one in USEFUL tries makes a link.
     """
     none = buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
     roots = buckets.select("node", F.col("node").alias("root")).where("false")
-    useful = 0 if refine is None else USEFUL
+    useful = 0 if refine is None and at_once is None else USEFUL
     roots, tried, held = _stars(_always(buckets), verify, roots, none, useful, at_once)
     if refine is not None:
         nodes = write_table(held.select("node").distinct(), "apart")
