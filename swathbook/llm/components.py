@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from swathbook.llm.shared import drop_tables, shuffles_for, write_table
+from swathbook.llm.shared import drop_tables, release, shuffles_for, write_table
 
 #: Where finer buckets are at hand, star rounds go on while one in so many tries makes a link.
 USEFUL = 10
+#: Pairs tried together: so many for each row of their buckets, and this many at least.
+TRIES_A_ROW, TRIES = 8, 200_000
 
 
 def _digest(edges: DataFrame) -> tuple[int, int]:
@@ -102,7 +105,8 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], refine:
     links are found. Star rounds end early when the pairs left are fewer than nodes. ``refine`` then gets the nodes (node)
     that still share a bucket with another component, and returns finer buckets (node, key) that hold every pair
     that can hold; star rounds go on in these. What is then still apart is tried pair by pair, only across
-    components, so that the components are the same as if all pairs had been tried.
+    components, so that the components are the same as if all pairs had been tried. Where these pairs are many, they are
+    made and tried in parts by their first node, so that disk goes by the rows of the buckets; links of one part spare pairs of the next.
 
     Finer buckets may have the columns weight and reach: a pair that can hold shares a key where each node's weight is at
     most the other's reach, and is tried in no other key. Such buckets have their star rounds from the node with the
@@ -121,14 +125,27 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], refine:
         drop_tables(held, nodes)
         roots, tried, held = _stars(finer, verify, roots, tried, useful)
         drop_tables(finer)
-    with shuffles_for(held.sparkSession, held.count()):
-        side = lambda node, root, weight, reach: held.select("key", F.col("node").alias(node), F.col("root").alias(root), F.col("weight").alias(weight), F.col("reach").alias(reach))
-        one, two = side("a", "ra", "wa", "pa"), side("b", "rb", "wb", "pb")
-        pairs = one.join(two, "key").where("ra <> rb and a > b and wa <= pb and wb <= pa").select("a", "b").distinct()
-        pairs = write_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-    _, found = _try(pairs, roots, verify)
-    drop_tables(held, tried, pairs)
-    return found
+    rows, cross = held.count(), _cross(held)
+    parts = max(1, math.ceil(cross / max(TRIES, TRIES_A_ROW * rows)))
+    for part in range(parts):
+        mine = lambda df: df.where(F.pmod(F.xxhash64("a", F.lit(parts)), F.lit(parts)) == part)  # noqa: B023, E731
+        with shuffles_for(held.sparkSession, rows):
+            side = lambda node, root, weight, reach: held.select("key", F.col("node").alias(node), F.col("root").alias(root), F.col("weight").alias(weight), F.col("reach").alias(reach))  # noqa: B023, E731
+            one, two = mine(side("a", "ra", "wa", "pa")), side("b", "rb", "wb", "pb")
+            pairs = one.join(two, "key").where("ra <> rb and a > b and wa <= pb and wb <= pa").select("a", "b").distinct()
+            pairs = write_table(pairs.join(mine(tried), ["a", "b"], "left_anti"), "pairs")
+        before = roots
+        found, roots = _try(pairs, roots, verify)
+        drop_tables(pairs)
+        if found:
+            drop_tables(before)
+        if part + 1 < parts:
+            release(held.sparkSession)
+            if found:
+                superseded, held = held, _apart(held, roots, rows)
+                drop_tables(superseded)
+    drop_tables(held, tried)
+    return roots
 
 
 def _always(buckets: DataFrame) -> DataFrame:
@@ -136,6 +153,21 @@ def _always(buckets: DataFrame) -> DataFrame:
     return buckets if "reach" in buckets.columns else buckets.withColumn("weight", F.lit(1.0)).withColumn("reach", F.lit(1.0))
 
 
+def _apart(buckets: DataFrame, roots: DataFrame, rows: int) -> DataFrame:
+    """Rows (node, key, root, weight, reach) of keys whose nodes have more than one root, written once."""
+    with shuffles_for(buckets.sparkSession, rows):
+        rooted = buckets.select("node", "key", "weight", "reach").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        return write_table(rooted.join(open_keys, "key").select("node", "key", "root", "weight", "reach"), "open")
+
+
+def _cross(held: DataFrame) -> int:
+    """Pairs of nodes that share a key and not a root, counted for each key."""
+    by_root = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    by_key = by_root.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"))
+    return by_key.agg(F.sum("cross")).first()[0] or 0
+
+
 def _stars(
     buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], roots: DataFrame, tried: DataFrame, useful: int = 0, at_once: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -144,14 +176,10 @@ def _stars(
     turn, found, held = 0, 1, None
     while True:
         with shuffles_for(buckets.sparkSession, rows):
-            rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-            superseded, held = held, write_table(rooted.join(open_keys, "key").select("node", "key", "root", "weight", "reach"), "open")
+            superseded, held = held, _apart(buckets, roots, rows)
             drop_tables(superseded)
-            by_root = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-            by_key = by_root.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"))
             few = limit if at_once is None or turn == 0 else max(limit, at_once * rows)
-            if not found or (by_key.agg(F.sum("cross")).first()[0] or 0) <= few:
+            if not found or _cross(held) <= few:
                 return roots, tried, held
             order = F.struct((F.col("weight") / F.col("reach")).alias("far"), "node") if turn < 2 else F.struct(F.xxhash64("node", F.lit(turn)).alias("far"), "node")
             pivots = held.groupBy("key").agg(F.min(F.struct(order.alias("o"), "root", "weight", "reach")).alias("p"))

@@ -131,26 +131,35 @@ def _groups(lines: list[str]) -> Iterator[tuple[int, int]]:
         yield begin, len(lines)
 
 
-def _bands(fine: int | None):
-    """All bands of each line: BANDS, and with ``fine`` FINE_BANDS more of lines of at most SHORT characters."""
+def _bands(fine: int | None = None):
+    """Bands of each line: BANDS, or with ``fine`` the FINE_BANDS of (short) lines."""
+    count = BANDS if fine is None else FINE_BANDS
 
     def run(lines: pa.Array) -> pa.Array:
         texts = lines.to_pylist()
-        short = [i for i, line in enumerate(texts) if fine is not None and len(line) <= SHORT]
-        count = np.full(len(texts), BANDS)
-        count[short] += FINE_BANDS
-        bounds = np.concatenate([[0], np.cumsum(count)])
-        flat = np.empty(bounds[-1], np.int64)
+        flat = np.empty((len(texts), count), np.int64)
         for begin, end in _groups(texts):
-            flat[bounds[begin:end, None] + np.arange(BANDS)] = bands_of(texts[begin:end])
-        few = [texts[i] for i in short]
-        for begin, end in _groups(few):
-            flat[bounds[short[begin:end], None] + np.arange(BANDS, BANDS + FINE_BANDS)] = fine_bands_of(few[begin:end], fine)
-        return pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(flat)).cast(pa.list_(pa.int64()))
+            flat[begin:end] = bands_of(texts[begin:end]) if fine is None else fine_bands_of(texts[begin:end], fine)
+        bounds = np.arange(len(texts) + 1, dtype=np.int32) * np.int32(count)
+        return pa.ListArray.from_arrays(bounds, pa.array(flat.ravel())).cast(pa.list_(pa.int64()))
 
     return run
 
 
+def _buckets(distinct: DataFrame, fine: int | None) -> DataFrame:
+    """Rows (node, key) of lines (node, line) that share a band; both kinds of bands have keys of their own and are shuffled one after the other."""
+    keys = lambda lines, bands: F.explode(F.arrow_udf(bands, "array<long>")(lines["line"])).alias("key")
+    coarse = crowded_once(distinct.select("node", keys(distinct, _bands())))
+    if fine is None:
+        return coarse
+    release(distinct.sparkSession)
+    short = distinct.where(F.char_length("line") <= SHORT)
+    fines = crowded_once(short.select("node", keys(short, _bands(fine))))
+    found = write_table(coarse.unionByName(fines), "buckets")
+    drop_tables(coarse, fines)
+    return found
+
+
 def _distinct(keys: np.ndarray) -> np.ndarray:
     keys = np.sort(keys)
     return keys[np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]]
@@ -239,10 +248,14 @@ def _holds(threshold: float, fine: int | None):
 
 
 def line_rows(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, text_key (hash of the text), line_no (from 0), line and line_key (its hash) of each line of each text."""
+    """id, text_key (hash of the text), line_no (from 0), line and line_key (its hash, 16 bytes) of each line of each text."""
     split = F.posexplode(F.split(F.col(text), "\n", -1))
     lines = df.select(F.col(id).alias("id"), text_key(text).alias("text_key"), split.alias("line_no", "line"))
-    return lines.withColumn("line_key", F.md5("line"))
+    return lines.withColumn("line_key", line_key())
+
+
+def line_key() -> Column:
+    return F.unhex(F.md5("line"))
 
 
 def text_key(text: str) -> Column:
@@ -262,12 +275,12 @@ def line_classes(df: DataFrame, id: str = "doc_id", text: str = "text", threshol
     places = line_rows(df, id, text).where("line <> ''").groupBy("line").agg(F.min(F.struct("id", "line_no")).alias("first"), F.count(F.lit(1)).alias("places"))
     distinct = write_table(places.withColumn("node", F.monotonically_increasing_id()), "lines")
     release(spark)
-    buckets = crowded_once(distinct.select("node", F.explode(F.arrow_udf(_bands(fine), "array<long>")("line")).alias("key")))
+    buckets = _buckets(distinct, fine)
     release(spark)
     wanted = write_table(buckets.select("node").distinct(), "wanted")
     wide = wanted.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS
     texts = write_table(distinct.join(wanted if wide else F.broadcast(wanted), "node", "left_semi").select("node", "line", "first"), "texts")
-    firsts = write_table(distinct.where("places > 1").select(F.md5("line").alias("line_key"), "first"), "firsts")
+    firsts = write_table(distinct.where("places > 1").select(line_key().alias("line_key"), "first"), "firsts")
     drop_tables(distinct, wanted)
     release(spark)
     run, schema = _sketches(fine)
@@ -282,7 +295,7 @@ def line_classes(df: DataFrame, id: str = "doc_id", text: str = "text", threshol
     roots = linked(buckets, verify, at_once=AT_ONCE)
     member = texts.join(roots, "node")
     heads = member.groupBy("root").agg(F.min(F.struct("first", "line")).alias("head"))
-    moved = member.join(heads, "root").where("line <> head.line").select(F.md5("line").alias("line_key"), "first", F.col("head.line").alias("class_line"))
+    moved = member.join(heads, "root").where("line <> head.line").select(line_key().alias("line_key"), "first", F.col("head.line").alias("class_line"))
     moved = write_table(moved, "moved")
     drop_tables(buckets, texts, sketches, roots)
     release(spark)
@@ -314,6 +327,8 @@ def lines_gone(df: DataFrame, id: str = "doc_id", text: str = "text", threshold:
     classes = line_classes(df, id, text, threshold, fine).select("line_key", "first", F.when(F.col("class_line").isNotNull(), "").alias("class_line"))
     full = line_rows(df, id, text).where("line <> ''").drop("line").join(classes, "line_key")
     gone = full.where(_goes()).groupBy("id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+    gone = write_table(gone, "gone")  # the shuffle of all lines' hashes is over before that of the texts begins
+    release(df.sparkSession)
     return gone.withColumnRenamed("id", id)
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from swathbook.llm import components as C
 from swathbook.llm import near_documents as N
 from swathbook.llm.components import components, linked
 
@@ -124,3 +125,22 @@ def test_family_of_texts_below_the_threshold(spark):
     want = brute(members, [(a, b) for a in members for b in members if a > b and holds(a, b)])
     assert {n: got.get(n, n) for n in members} == want
     assert len(tried) < 5 * len(members)  # all pairs are some 31,000
+
+
+def test_many_pairs_left_are_tried_in_parts_and_links_spare_later_pairs(spark, monkeypatch):
+    tried = []
+
+    def verify(pairs):
+        tried.append({(r["a"], r["b"]) for r in pairs.collect()})
+        return pairs.where("a % 2 = b % 2")
+
+    buckets = spark.range(60).selectExpr("id AS node", "id % 3 AS key")
+    always = lambda *a, **k: (spark.createDataFrame([], "node long, root long"), spark.createDataFrame([], "a long, b long"), buckets.selectExpr("node", "key", "node AS root", "1.0D AS weight", "1.0D AS reach"))
+    monkeypatch.setattr(C, "_stars", always)
+    monkeypatch.setattr(C, "TRIES", 60)
+    monkeypatch.setattr(C, "TRIES_A_ROW", 1)
+    roots = {r["node"]: r["root"] for r in linked(buckets, verify, at_once=8).collect()}
+    assert roots == {i: i % 6 for i in range(60)}  # nodes of a key and of a parity
+    pairs = 3 * 20 * 19 // 2
+    assert len(tried) > 2 and max(map(len, tried)) < pairs // 3 and sum(map(len, tried)) < pairs
+    assert not any(x & y for i, x in enumerate(tried) for y in tried[:i])
