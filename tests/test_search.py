@@ -99,3 +99,30 @@ def test_open_windows_reach_the_ends_of_the_catalog(spark, sf):
         found = S.search(req, catalog, strategy=strategy, rows_per_slot=500, pairs_per_slot=1000)
         assert {r["request_key"]: r["n"] for r in found.groupBy("request_key").agg(F.count(F.lit(1)).alias("n")).collect()} == want
     assert S.search(req, catalog.limit(0)).isEmpty()
+
+
+def test_pairs_of_many_requests_are_not_shuffled_for_their_latest_versions(spark, sf):
+    catalog = X.catalog(spark, sf)
+    rows = [(str(i), f"q{i % 3}", "2024-01-02", "2024-01-20", None, None) for i in range(6)]
+    found = L.fetch_data(spark.createDataFrame(rows, REQ), catalog, geometry=False)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(Name" in plan and "hashpartitioning(id_original_query" not in plan
+    inside = catalog.filter("content_start > '2024-01-02' AND content_start < '2024-01-20'")
+    names = inside.groupBy("Name").agg(F.max_by("Id", "ModificationDate").alias("Id"))
+    want = sorted((f"q{i}", r["Name"], r["Id"]) for r in names.collect() for i in range(3))
+    assert want and sorted(map(tuple, found.select("id_original_query", "Name", "Id").collect())) == want
+    # fewer pairs than products: these are shuffled instead
+    few = spark.createDataFrame([("0", "q", "2024-01-05", "2024-01-07", None, None)], REQ)
+    assert "hashpartitioning(id_original_query" in L.fetch_data(few, catalog, geometry=False)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_the_queries_asked_for_are_searched(spark, sf):
+    catalog = X.catalog(spark, sf)
+    rows = [(str(i), f"q{i}", "2024-01-05", "2024-01-08", None, None) for i in range(5)]
+    req = spark.createDataFrame(rows, REQ)
+    found = L.fetch_data(req, catalog, geometry=False, queries=["q1", "q3"])
+    every = L.fetch_data(req, catalog, geometry=False).filter("id_original_query IN ('q1', 'q3')")
+    assert sorted(r[0] for r in found.select("Id").collect()) == sorted(r[0] for r in every.select("Id").collect()) != []
+    assert {r[0] for r in found.select("id_original_query").distinct().collect()} == {"q1", "q3"}
+    with pytest.raises(IndexError):  # the others are checked all the same
+        L.fetch_data(spark.createDataFrame([*rows, rows[0]], REQ), catalog, queries=["q1"])
